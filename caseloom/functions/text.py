@@ -295,7 +295,7 @@ def chain_name(chain: Column, alias: dict[str, str] | None = None) -> Column:
 
 
 def chain_names(chains: Column) -> Column:
-    return F.array_distinct(F.filter(F.transform(chains, chain_name), lambda c: c != ""))
+    return F.array_distinct(F.filter(F.transform(chains, lambda c: chain_name(c)), lambda c: c != ""))
 
 
 def address_key(address: Column) -> Column:

@@ -96,6 +96,8 @@ CARDS = [
         "incident_type", "project", "incident_date", compact("chain1", "chain2") + " as chains", "amount_usd",
         "amount_text", compact("actor1", "actor2") + " as actors", compact("tag1", "tag2") + " as tags",
         compact("tx1") + " as tx_hashes", "enriched", "summary_ko", "summary_en", "attack_method",
+        "case when k % 10 in (3, 6) then substr(sha1(concat('src', cast((k - 3) % 13 as $STR), '|', "
+        "cast(k - 3 as $STR))), 1, 16) end as followup_uid",
         "k", "e",
     ],
 ]
