@@ -118,7 +118,7 @@ def leaderboard_day(value: Column) -> Column:
 
 def clean(text: Column) -> Column:
     """Odd blanks and hyphens made plain, '$320 M' -> '$320M', '300 ×' -> '300x', runs of blanks squeezed."""
-    s = F.translate(text, "   ‑‐−", "   ---")
+    s = F.translate(text, "\u00a0\u202f\u2009\u2011\u2010\u2212", "   ---")
     s = F.regexp_replace(s, r"\$\s*(\d[\d,]*(?:\.\d+)?)\s*[Kk](?![A-Za-z])", r"\$$1K")
     s = F.regexp_replace(s, r"\$\s*(\d[\d,]*(?:\.\d+)?)\s*[Mm](?![A-Za-z])", r"\$$1M")
     s = F.regexp_replace(s, r"\$\s*(\d[\d,]*(?:\.\d+)?)\s*[Bb](?![A-Za-z])", r"\$$1B")
@@ -183,7 +183,7 @@ def url_key(url: Column) -> Column:
 def evidence_in_text(evidence: Column, text: Column) -> Column:
     """Whether the evidence phrase (six characters or more) occurs in the text, punctuation aside."""
     def plain(c: Column) -> Column:
-        return F.lower(F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), r"\s+", " ")))
+        return F.lower(F.trim(F.regexp_replace(F.coalesce(c, F.lit("")), r"(?U)\s+", " ")))
 
     def bare(c: Column) -> Column:
         return F.regexp_replace(c, r"[^0-9a-z가-힣$%.,]+", " ")

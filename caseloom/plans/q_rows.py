@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -465,15 +467,22 @@ def top_alerts(spark, sf):
         "channel", "uid", "position"))
 
 
-@query("top_lookup", """
+NEEDLE = "0x" + (hashlib.md5(b"p0").hexdigest() + hashlib.md5(b"q0").hexdigest())[:40]
+
+
+@query("top_lookup", f"""
   select * from (select 'incident' as kind, a.address, a.uid as ref, r.project as detail from caddr a join crow r
-    on r.uid = a.uid where contains(low, '0x00f4') order by r.day desc, r.incident_date desc nulls last, r.uid, a.apos
+    on r.uid = a.uid where contains(low, '{NEEDLE}') order by r.day desc, r.incident_date desc nulls last, r.uid, a.apos
     limit 200)
   union all select * from (select 'sanction', address, entity_uid, entity_name from sdn_snapshot
-    where contains(lower(address), '0x00f4') order by chain, address limit 50)""")
+    where contains(lower(address), '{NEEDLE}') order by chain, address limit 50)
+  union all select 'blacklist', address, array_to_string(list_sort(list_distinct(flatten(list(
+    string_split(sources, '|'))))), '|'), array_to_string(list_sort(list_distinct(flatten(list(
+    string_split(labels, '|'))))), '|') from blacklist_rows where address = '{NEEDLE}' group by address""")
 def top_lookup(spark, sf):
     c = collapsed(spark, sf)
-    return an.lookup(c.rows, c.addresses, load(spark, sf, "sdn_snapshot"), blacklist(spark, sf), "0x00F4")
+    return an.lookup(c.rows, c.addresses, load(spark, sf, "sdn_snapshot"), blacklist(spark, sf), NEEDLE.upper().replace(
+        "0X", "0x"))
 
 
 @query("top_suggest", """
