@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from caseloom.plans import q_resolve, q_rows, q_text  # noqa: F401
+from caseloom.plans import q_quality, q_resolve, q_rows, q_text  # noqa: F401
 from caseloom.plans.registry import ORACLES, QUERIES  # noqa: F401
