@@ -298,6 +298,13 @@ def chain_names(chains: Column) -> Column:
     return F.array_distinct(F.filter(F.transform(chains, lambda c: chain_name(c)), lambda c: c != ""))
 
 
+def union_ignore_case(*arrays: Column) -> Column:
+    """Ordered union of arrays; the first spelling of a value stays."""
+    start = F.array().cast("array<string>")
+    return F.aggregate(F.concat(*arrays), start, lambda acc, x: F.when(
+        (x == "") | F.exists(acc, lambda y: F.lower(y) == F.lower(x)), acc).otherwise(F.array_append(acc, x)))
+
+
 def address_key(address: Column) -> Column:
     """Comparison form of an address: families without case in lower case."""
     a = F.trim(address)

@@ -35,9 +35,11 @@ def blacklist_index(rows: DataFrame) -> DataFrame:
         tx.hex_key(F.trim("address")).alias("key"), words("sources").alias("sources"),
         words("categories").alias("categories"), words("labels", 60).alias("labels"))
     # distinct words before they are gathered: the sets hold words, not rows
-    long = keyed.select("key", F.explode(F.concat(*[
-        F.transform(c, lambda w, c=c: F.struct(F.lit(c).alias("kind"), w.alias("word")))
-        for c in ("sources", "categories", "labels")])).alias("w")).select("key", "w.*").distinct()
+    def tagged(kind: str) -> Column:
+        return F.transform(kind, lambda w: F.struct(F.lit(kind).alias("kind"), w.alias("word")))
+
+    kinds = F.concat(*[tagged(kind) for kind in ("sources", "categories", "labels")])
+    long = keyed.select("key", F.explode(kinds).alias("w")).select("key", "w.*").distinct()
 
     def gathered(kind: str) -> Column:
         return F.array_sort(F.collect_list(F.when(F.col("kind") == kind, F.col("word")))).alias(kind)

@@ -389,15 +389,15 @@ def dq_pick_chain(spark, sf):
 
 
 @query("dq_address_kind", """
-  select b.address, case when c.chain is null then case when p % 13 = 0 then 'unknown' else 'unfunded' end
-    when c.code > 0 then 'contract' else 'eoa' end as kind, coalesce(c.chain, '') as chain,
-    cast(coalesce(c.tx_count, 0) as bigint) as tx_count
-  from probe_base b left join chosen c on c.address = b.address
-  union all select '0x000000000000000000000000000000000000dead', 'system', '', 0""")
+  select case when p = 0 then '0x000000000000000000000000000000000000dead' else b.address end as address,
+    case when p = 0 then 'system' when c.chain is null then case when p % 13 = 0 then 'unknown' else 'unfunded' end
+    when c.code > 0 then 'contract' else 'eoa' end as kind, case when p = 0 then '' else coalesce(c.chain, '') end as chain,
+    cast(case when p = 0 then 0 else coalesce(c.tx_count, 0) end as bigint) as tx_count
+  from probe_base b left join chosen c on c.address = b.address""")
 def dq_address_kind(spark, sf):
-    base = load(spark, sf, "probe_base").select("address", (F.col("p") % 13 == 0).alias("probe_failed"))
-    burn = base.limit(1).select(F.lit(fixed.BURN_ADDRESS).alias("address"), F.lit(False).alias("probe_failed"))
-    known = base.unionByName(burn)
+    known = load(spark, sf, "probe_base").select(
+        F.when(F.col("p") == 0, fixed.BURN_ADDRESS).otherwise(F.col("address")).alias("address"),
+        (F.col("p") % 13 == 0).alias("probe_failed"))
     formats = extract.address_formats(known).withColumnRenamed("chain", "form_chain")
     return qa.address_kind(formats.join(known, "address"), chosen(spark, sf))
 
