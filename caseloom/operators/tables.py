@@ -39,8 +39,11 @@ def upsert(spark: SparkSession, path: str, changes: DataFrame, key: str, order:
 
 
 def overwrite_partitions(df: DataFrame, path: str, *by: str) -> None:
-    """Replace exactly the partitions present in df; repeating the write changes nothing."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+    """Replace exactly the partitions present in df; repeating the write changes nothing.
+
+    Rebalancing gives a small partition one file and splits one that holds much of the data.
+    """
+    df.hint("rebalance", *[F.col(c) for c in by]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
 def insert_absent(spark: SparkSession, path: str, rows: DataFrame, keys: list[str]) -> None:

@@ -2,5 +2,5 @@
 
 from __future__ import annotations
 
-from caseloom.plans import q_quality, q_resolve, q_rows, q_tables, q_text, q_sources  # noqa: F401
+from caseloom.plans import q_quality, q_resolve, q_rows, q_tables, q_text, q_sources, q_stream  # noqa: F401
 from caseloom.plans.registry import ORACLES, QUERIES  # noqa: F401
