@@ -29,13 +29,12 @@ DATE_FORMATS = [
 
 def keyword_pattern(words: list[str]) -> str:
     """One pattern for a keyword list: whole words with common endings; a trailing * matches any ending."""
-    parts = []
-    for word in (w.strip().lower() for w in words):
-        if word.endswith("*"):
-            parts.append(r"\b" + re.escape(word[:-1]))
-        elif word:
-            parts.append(r"\b" + re.escape(word) + r"(?:s|es|ed|ing|er|ers)?\b")
-    return "(?iU)(?:" + "|".join(parts) + ")" if parts else r"(?!x)x"
+    clean_words = [w.strip().lower() for w in words if w.strip()]
+    whole = [re.escape(w) for w in clean_words if not w.endswith("*")]
+    open_ended = [re.escape(w[:-1]) for w in clean_words if w.endswith("*")]
+    # one leading boundary for all, so most positions of a text are left after one test
+    parts = ["(?:" + "|".join(whole) + r")(?:s|es|ed|ing|er|ers)?\b"] if whole else []
+    return r"(?iU)\b(?:" + "|".join(parts + open_ended) + ")" if clean_words else r"(?!x)x"
 
 
 def has_keyword(text: Column, words: list[str]) -> Column:
@@ -128,15 +127,19 @@ def clean(text: Column) -> Column:
 
 def chain_mentions(text: Column, names: list[str] | None = None, limit: int = 3) -> Column:
     """Chain names found in the text, by first position."""
-    text = F.coalesce(text, F.lit(""))
-    hits = []
-    for name in names or fixed.CHAIN_KEYWORDS:
-        word = name.lower().rstrip("*")
-        if len(word) >= 3:
-            at = F.regexp_instr(text, F.lit("(?iu)(?<![a-z0-9])" + re.escape(word) + "(?![a-z0-9])"))
-            hits.append(F.struct(at.alias("at"), F.lit(name.rstrip("*")).alias("name")))
-    found = F.array_sort(F.filter(F.array(*hits), lambda h: h["at"] > 0))
-    return F.slice(F.array_distinct(F.transform(found, lambda h: h["name"])), 1, limit)
+    words = [n.rstrip("*") for n in names or fixed.CHAIN_KEYWORDS]
+    known = F.array(*[F.lit(w) for w in words if len(w) >= 3])
+
+    def ranked(low: Column) -> Column:
+        # a plain search first; the bounded pattern runs only for names that occur at all
+        there = F.filter(known, lambda n: F.contains(low, F.lower(n)))
+        placed = F.transform(there, lambda n: F.struct(F.regexp_instr(
+            low, F.concat(F.lit(r"(?<![a-z0-9])\Q"), F.lower(n), F.lit(r"\E(?![a-z0-9])"))).alias("at"), n.alias("name")))
+        found = F.array_sort(F.filter(placed, lambda h: h["at"] > 0))
+        return F.slice(F.array_distinct(F.transform(found, lambda h: h["name"])), 1, limit)
+
+    # the lower-case text is bound once
+    return F.transform(F.array(F.lower(F.coalesce(text, F.lit("")))), ranked)[0]
 
 
 def normalize_name(name: Column) -> Column:

@@ -13,6 +13,7 @@ from caseloom import fixed
 from caseloom.functions import html as hp
 from caseloom.functions import text as tx
 from caseloom.functions.checksums import base58, bech32, eip55
+from caseloom.session import spread
 
 # fixed values: address forms, each between non-alphanumeric neighbours
 EDGE_L, EDGE_R = r"(?<![0-9a-zA-Z])", r"(?![0-9a-zA-Z])"
@@ -109,6 +110,7 @@ def tx_hashes(text: Column, bare: bool = False) -> Column:
 
 def mentions(texts: DataFrame) -> DataFrame:
     """texts(uid, text) -> (uid, kind, value): addresses, transactions, money, chains."""
+    texts = spread(texts)
     by_address = addresses(texts).select("uid", F.lit("address").alias("kind"), F.concat_ws(":", "chain", "address")
                                          .alias("value"))
 
@@ -127,7 +129,7 @@ def relevance(texts: DataFrame) -> DataFrame:
     """(uid, crypto_hit, crime_hit, relevant)."""
     blob = F.concat_ws("\n", "title", "hint", "text")
     subject = fixed.CRYPTO_KEYWORDS + fixed.CHAIN_KEYWORDS
-    tagged = texts.select("uid", tx.first_keyword(blob, subject).alias("crypto_hit"),
+    tagged = spread(texts).select("uid", tx.first_keyword(blob, subject).alias("crypto_hit"),
                           tx.first_keyword(blob, fixed.CRIME_KEYWORDS).alias("crime_hit"))
     return tagged.withColumn("relevant", (F.col("crypto_hit") != "") & (F.col("crime_hit") != ""))
 

@@ -106,8 +106,7 @@ def _release_hits(p: DataFrame) -> DataFrame:
         "release", F.concat_ws("|", "source", amount))
     first = F.floor(F.unix_date("scope") / F.lit(DAYS)).cast("bigint")
     binned = legal.select("release", "title", F.explode(F.array(first, first + 1)).alias("g")).distinct()
-    titles = binned.withColumn("grams", tx.trigrams(F.col("title")))
-    one = resolve.jaccard_pairs(titles, ["release", "g"], "title", "grams", fixed.TITLE_JACCARD).select(
+    one = resolve.jaccard_pairs(resolve.with_grams(binned, ["release", "g"]), ["release", "g"], "title", "grams", fixed.TITLE_JACCARD).select(
         "release", F.col("id_a").alias("title"), F.col("id_b").alias("other")).distinct()
     two = one.select("release", F.col("other").alias("title"), F.col("title").alias("other"))
     same = binned.select("release", "title", F.col("title").alias("other")).distinct()

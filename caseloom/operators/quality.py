@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from caseloom import fixed
 from caseloom.functions import text as tx
+from caseloom.session import spread
 
 # fixed values: chains whose first letters count as a mention
 SHORT_CHAINS = ["ethereum", "bsc", "bitcoin", "tron", "solana"]
@@ -23,7 +24,7 @@ def _known(amount: Column) -> Column:
 def qa_flags(cards: DataFrame, texts: DataFrame, addresses: DataFrame) -> DataFrame:
     """Cards with their quality flags; texts: (uid, text), addresses: (uid, ...)."""
     held = addresses.select("uid", F.lit(True).alias("has_address")).distinct()
-    c = cards.join(texts.select("uid", "text"), "uid", "left").join(held, "uid", "left")
+    c = spread(cards.join(texts.select("uid", "text"), "uid", "left").join(held, "uid", "left"))
     idt, pub, day, amount = F.col("incident_date"), F.col("published_at"), F.col("coll_day"), F.col("amount_usd")
     title, kind = F.coalesce("title", F.lit("")), F.col("incident_type")
     text = F.coalesce("text", F.lit(""))

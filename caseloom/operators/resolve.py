@@ -13,7 +13,7 @@ from pyspark.sql import Window
 
 from caseloom import fixed
 from caseloom.functions import text as tx
-from caseloom.session import cut_lineage
+from caseloom.session import cut_lineage, spread
 
 SALTS = 32
 SKETCH = 65536
@@ -37,6 +37,11 @@ def profiles(cards: DataFrame) -> DataFrame:
     )
 
 
+def profile_table(cards: DataFrame) -> DataFrame:
+    """Profiles as a written table: every rule reads them, none computes them again."""
+    return cut_lineage(profiles(spread(cards)), "profiles")
+
+
 def star(members: DataFrame, keys: list[str]) -> DataFrame:
     """Edges (a, b) from the smallest uid of each key to its other members; a hot key is spread over salts."""
     salted = members.select(*keys, "uid").withColumn("_s", F.pmod(F.xxhash64("uid"), F.lit(SALTS)))
@@ -314,11 +319,17 @@ def release_cells(p: DataFrame) -> DataFrame:
     return keyed(releases(p), "release", "release", "title", "pub")
 
 
+def with_grams(titles: DataFrame, group: list[str]) -> DataFrame:
+    """Titles with trigrams, without the groups that hold one title only."""
+    several = titles.groupBy(*group).agg(F.count("*").alias("n")).where("n > 1").select(*group)
+    return titles.join(several, group, "left_semi").withColumn("grams", tx.trigrams(F.col("title")))
+
+
 def release_links(p: DataFrame) -> DataFrame:
     """A press release issued again within 7 days: same source, same amount, alike title; between cells."""
     cells = releases(p).groupBy("release", "title", "pub").agg(F.min("uid").alias("rep"))
-    titles = cells.select("release", "title").distinct().withColumn("grams", tx.trigrams(F.col("title")))
-    alike = jaccard_pairs(titles, ["release"], "title", "grams", fixed.TITLE_JACCARD)
+    titles = cells.select("release", "title").distinct()
+    alike = jaccard_pairs(with_grams(titles, ["release"]), ["release"], "title", "grams", fixed.TITLE_JACCARD)
     same = titles.select("release", F.col("title").alias("id_a"), F.col("title").alias("id_b"))
     a, b = [cells.select("release", F.col("title").alias(f"id_{t}"), F.col("pub").alias(f"pub_{t}"),
                          F.col("rep").alias(f"rep_{t}")) for t in ("a", "b")]
@@ -333,7 +344,7 @@ def release_links(p: DataFrame) -> DataFrame:
 
 def merge_edges(cards: DataFrame, addresses: DataFrame, decisions: DataFrame | None = None) -> DataFrame:
     """All edges between cards of one collected day; their components are the incidents."""
-    p = cut_lineage(profiles(cards), "profiles")
+    p = profile_table(cards)
     nodes = name_nodes(p)
     pairs = cut_lineage(node_pairs(name_pairs(p), nodes), "names")
     groups = (

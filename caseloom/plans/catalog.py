@@ -2,5 +2,14 @@
 
 from __future__ import annotations
 
-from caseloom.plans import q_quality, q_resolve, q_rows, q_tables, q_text, q_sources, q_stream  # noqa: F401
+from pyspark.sql import DataFrame, SparkSession
+
+from caseloom.plans import (  # noqa: F401
+    q_quality, q_resolve, q_rows, q_sources, q_stream, q_tables, q_text,
+)
 from caseloom.plans.registry import ORACLES, QUERIES  # noqa: F401
+
+
+def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """New incidents and losses per type, from cards through resolution to statistics."""
+    return QUERIES["incident_stats"](spark, sf_dir)

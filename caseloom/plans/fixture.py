@@ -11,6 +11,7 @@ import re
 from pyspark.sql import DataFrame, SparkSession
 
 from caseloom import fixed
+from caseloom.session import spread
 
 
 def pick(index: str, values: list[str | None]) -> str:
@@ -257,7 +258,7 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """An incident table as a Spark DataFrame; Catalyst collapses the select chain and prunes the scan."""
     table, stages, where = TABLES[name]
-    df = read(spark, sf_dir, table)
+    df = spread(read(spark, sf_dir, table))
     for stage in stages:
         df = df.selectExpr(*[spark_text(item) for item in stage])
     return df.where(where) if where else df

@@ -236,7 +236,7 @@ cte("amount_next", """
   select 'amount', hub, uid from (select p.uid, c.rep as hub from prof p join amount_cells c using (scope, norm, pub, amount))
   where hub <> uid""")
 def jn_name_exact(spark, sf):
-    p = resolve.profiles(load(spark, sf, "cards"))
+    p = resolve.profile_table(load(spark, sf, "cards"))
     name = resolve.star(resolve.name_runs(p), ["key"]).select(F.lit("name").alias("rule"), "a", "b")
     amount = resolve.name_amount_links(p).unionByName(resolve.star(resolve.amount_cells(p), ["key"]))
     return name.unionByName(amount.select(F.lit("amount").alias("rule"), "a", "b")).distinct().toDF("rule", "uid_a", "uid_b")
@@ -258,7 +258,7 @@ cte("wordsets", f"""
   select 'words', a.ts, b.ts from wordsets a join wordsets b on len(a.toks) < len(b.toks)
     and len(list_intersect(a.toks, b.toks)) = len(a.toks)""")
 def jn_name_fuzzy(spark, sf):
-    return resolve.name_pairs(resolve.profiles(load(spark, sf, "cards"))).toDF("rule", "name_a", "name_b")
+    return resolve.name_pairs(resolve.profile_table(load(spark, sf, "cards"))).toDF("rule", "name_a", "name_b")
 
 
 cte("release_cells", """
@@ -276,7 +276,7 @@ cte("release_cells", """
     and p.amount is not distinct from c.amount and p.title_l = c.title_l and p.pub = c.pub
   where p.fam = 'legal' and p.uid <> c.rep""")
 def jn_legal_release(spark, sf):
-    p = resolve.profiles(load(spark, sf, "cards"))
+    p = resolve.profile_table(load(spark, sf, "cards"))
     edges = resolve.release_links(p).unionByName(resolve.star(resolve.release_cells(p), ["key"]))
     return edges.distinct().toDF("uid_a", "uid_b")
 
@@ -374,3 +374,18 @@ def agg_amount_revision(spark, sf):
 def win_role_priority(spark, sf):
     a = load(spark, sf, "card_addresses").select(F.lower("address").alias("address"), "role")
     return a.groupBy("address").agg(F.min_by("role", tx.role_rank(F.col("role"))).alias("role"))
+
+
+@query("incident_stats", """
+  select g.incident_type as key, count(*) as count, count(*) filter (coalesce(v.amount_usd, g.amount_usd, 0) <> 0) as known,
+    round(sum(coalesce(v.amount_usd, g.amount_usd, 0)), 2) as amount
+  from gold g left join rev_vote v on v.gid = g.uid where g.uid not in (select uid from follow_roots)
+  group by g.incident_type""")
+def incident_stats(spark, sf):
+    """From cards to answers: resolve, merge, link follow-ups, revise amounts, count new incidents and losses per type."""
+    m, g, _, links = Resolved(spark, sf).followed()
+    roots = follow.followup_roots(links)
+    originals = follow.revise_amounts(g, m, roots).join(roots.select("uid"), "uid", "left_anti")
+    amount = F.coalesce("amount_usd", F.lit(0.0))
+    return originals.groupBy(F.col("incident_type").alias("key")).agg(
+        F.count("*").alias("count"), F.count_if(amount != 0).alias("known"), F.round(F.sum(amount), 2).alias("amount"))

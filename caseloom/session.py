@@ -61,3 +61,9 @@ def cut_lineage(df: DataFrame, name: str = "step") -> DataFrame:
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give costly per-row work all cores when the input has too few splits; large inputs have enough and stay as is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
