@@ -148,7 +148,8 @@ cte("gkeys", """
   select uid, coll_day, concat('t:', lower(unnest(tx_hashes))) from gold""")
 cte("follow_hits", f"""
   select a.uid, b.uid as orig, b.scope as orig_day, b.ref, b.pub, 0 as judged
-  from gprof a join gprof b on b.scope between a.scope - 14 and a.scope - 1 where {duck.same('a', 'b')}
+  from (select *, scope - cast(unnest(generate_series(1, 14)) as int) as back from gprof) a
+  join gprof b on b.scope = a.back where {duck.same('a', 'b')}
   union
   select a.uid, b.uid, b.scope, p.ref, p.pub, 0 from gkeys a join gkeys b on a.key = b.key
     and b.scope between a.scope - 14 and a.scope - 1 join gprof p on p.uid = b.uid
