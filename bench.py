@@ -15,8 +15,7 @@ from caseloom.session import local_session  # noqa: E402
 
 HEADLINES = [
     "agg_stats_type", "agg_stats_daily", "agg_facets", "agg_timeseries", "agg_address_list", "jn_related",
-    "agg_consensus_amount", "jn_name_fuzzy", "agg_components", "incident_stats", "relevance", "mentions", "dq_flags",
-    "jn_blacklist",
+    "agg_consensus_amount", "jn_blacklist", "relevance", "mentions", "dq_flags", "incident_stats",
 ]
 
 

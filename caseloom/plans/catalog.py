@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from caseloom.plans import (  # noqa: F401
     q_quality, q_resolve, q_rows, q_sources, q_stream, q_tables, q_text,
 )
-from caseloom.plans.registry import ORACLES, QUERIES  # noqa: F401
+from caseloom.plans.registry import QUERIES, composed  # noqa: F401
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:

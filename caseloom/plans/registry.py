@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from caseloom.plans import fixture
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {}  # as written; composed when all expressions are known
 CTES: dict[str, str] = {name: fixture.duck_cte(name) for name in fixture.TABLES}
 
 
@@ -39,6 +39,10 @@ def query(name: str, oracle: str | None = None):
     def keep(fn):
         QUERIES[name] = fn
         if oracle is not None:
-            ORACLES[name] = compose(oracle)
+            ORACLES[name] = oracle
         return fn
     return keep
+
+
+def composed() -> dict[str, str]:
+    return {name: compose(sql) for name, sql in ORACLES.items()}
