@@ -13,7 +13,7 @@ from caseloom.operators import quality as qa
 from caseloom.plans import duck
 from caseloom.plans.fixture import duck_text, load, pick, spark_text
 from caseloom.plans.q_rows import flat
-from caseloom.plans.q_text import BLOB, NUM, keyword_sql, money_list, SUBJECT
+from caseloom.plans.q_text import BLOB, NUM, SUBJECT, chains_sql, keyword_sql, money_list
 from caseloom.plans.registry import cte, query
 
 # One expression text for both engines
@@ -603,20 +603,25 @@ def prj_build_card_rule(spark, sf):
     return flat(cd.rule_cards(items_in(spark, sf)).drop("title", "enriched"))
 
 
+cte("enrich_blob", """
+  select i.uid, concat_ws(' ', i.title, o.o_summary_en, o.o_method_en, i.text) as text
+  from items_in i join enrich_out o on o.uid = i.uid""")
+cte("blob_chains", chains_sql("enrich_blob"))
+
+
 @query("prj_build_card_enriched", f"""
   select uid, cast(o_relevant and kind <> 'other' and not stale as bigint) as relevant, kind as incident_type,
     case when o_project <> '' then o_project else coalesce(s_name, '') end as project,
     cast(dt as varchar) as incident_date,
-    case when len(ch) = 0 and kind in {CHAINY} then 'polygon' else array_to_string(ch, '|') end as chains,
+    case when len(ch) = 0 and kind in {CHAINY} then found else array_to_string(ch, '|') end as chains,
     round(coalesce(o_amount, s_amount), 2) as amount_usd
   from (select *, coalesce(kind in {duck.words(fixed.ATTACK_TYPES)} and published_at - dt > 365, false) as stale from (
     select i.*, o.* exclude (uid, d), coalesce(o_date, s_date) as dt,
       case when o_type in {duck.words(fixed.INCIDENT_TYPES)} then o_type else 'other' end as kind,
-      case when len(o_chains) > 0 then o_chains else s_chains end as ch
-    from items_in i join enrich_out o on o.uid = i.uid))""")
+      case when len(o_chains) > 0 then o_chains else s_chains end as ch, b.chains as found
+    from items_in i join enrich_out o on o.uid = i.uid join blob_chains b on b.uid = i.uid))""")
 def prj_build_card_enriched(spark, sf):
-    items = items_in(spark, sf).withColumn("text", F.lit(""))  # chains of the summary alone, for an exact statement
-    return flat(cd.enriched_cards(items, enrich_out(spark, sf)).select(
+    return flat(cd.enriched_cards(items_in(spark, sf), enrich_out(spark, sf)).select(
         "uid", "relevant", "incident_type", "project", "incident_date", "chains", "amount_usd"))
 
 

@@ -135,15 +135,20 @@ def relevance(spark, sf):
 CHAIN_WORDS = [c for c in fixed.CHAIN_KEYWORDS if len(c) >= 3]
 
 
-@query("txt_chain_mentions", f"""
-  select a.uid, coalesce(string_agg(w, '|' order by p, w) filter (rn <= 3), '') as chains from articles a left join (
+def chains_sql(table: str) -> str:
+    """First three chain names of each text of a table (uid, text), by position."""
+    return f"""
+  select a.uid, coalesce(string_agg(w, '|' order by p, w) filter (rn <= 3), '') as chains from {table} a left join (
     select *, row_number() over (partition by uid order by p, w) as rn from (
       select uid, w, strpos(lower(text), regexp_extract(lower(text),
           concat('(?:^|[^a-z0-9])(', w, ')(?:[^a-z0-9]|$)'), 0)) + case when regexp_matches(lower(text),
           concat('^(', w, ')(?:[^a-z0-9]|$)')) then -1 else 0 end as p
-      from articles, (select unnest({CHAIN_WORDS}) as w)
+      from {table}, (select unnest({CHAIN_WORDS}) as w)
       where regexp_matches(lower(text), concat('(?:^|[^a-z0-9])', w, '(?:[^a-z0-9]|$)')))) h on h.uid = a.uid
-  group by a.uid""")
+  group by a.uid"""
+
+
+@query("txt_chain_mentions", chains_sql("articles"))
 def txt_chain_mentions(spark, sf):
     return load(spark, sf, "articles").select(
         "uid", F.array_join(tx.chain_mentions(F.col("text")), "|").alias("chains"))
