@@ -15,6 +15,7 @@ from caseloom.operators import matching, rows as rw
 from caseloom.plans import duck
 from caseloom.plans.fixture import load
 from caseloom.plans.registry import cte, query
+from caseloom.session import cut_lineage
 
 LEGAL = duck.words(fixed.LEGAL_TYPES)
 
@@ -60,7 +61,8 @@ def addresses(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def collapsed(spark: SparkSession, sf: str) -> rw.Collapsed:
-    return rw.Collapsed(rows(spark, sf), sources(spark, sf), addresses(spark, sf))
+    """Incident rows are a written table in use; here they are written first, then folded."""
+    return rw.Collapsed(cut_lineage(rows(spark, sf), "rows"), sources(spark, sf), addresses(spark, sf))
 
 
 def blacklist(spark: SparkSession, sf: str) -> DataFrame:
