@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from caseloom.llm import bpe, mixing, near_dedup, quality, substring_dedup
+from caseloom.llm import bpe, kd_search, learned_ann, mixing, near_dedup, quality, substring_dedup, token_counts, url_filter, warc_fixity
 from caseloom.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -20,12 +21,17 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[fn.__name__] = fn
-    return fn
+def query(oracle: str | None = None):
+    """Register a query under its function's name; oracle is DuckDB SQL over the given tables."""
+    def keep(fn: Callable[[SparkSession, str], DataFrame]):
+        QUERIES[fn.__name__] = fn
+        if oracle is not None:
+            ORACLES[fn.__name__] = oracle
+        return fn
+    return keep
 
 
-@query
+@query()
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
     scored = quality.scored(docs, quality.learnt(docs, labels))
@@ -34,23 +40,84 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"cast(score >= {quality.THRESHOLD} as int) as predicted")
 
 
-@query
+@query()
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages, labels = table(spark, sf_dir, "pages").select("page_id", "url"), table(spark, sf_dir, "labels")
+    judged = url_filter.judged(pages, url_filter.learnt(url_filter.labelled_urls(pages, labels)))
+    return judged.select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+@query()
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.cleaned(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
-@query
+@query()
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return bpe.digests(bpe.encoded(docs, tokenizer_file("byte_bpe_50k.json")))
 
 
-@query
+@query()
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = token_counts.from_sentencepiece(tokenizer_file("piece_bpe_32k.model"))
+    return token_counts.counted(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary).drop("text")
+
+
+HUNDREDTH = F.col("vec_id") % 100 == 0  # the stated query set
+
+WHOLE = "list_transform(embedding, lambda x: floor(1024 * x::double))"
+USABLE = "embedding is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0"
+
+
+@query(f"""
+with v as (select vec_id, {WHOLE} as w from embeddings where vec_id is not null and {USABLE}),
+s as (select q.vec_id as query_id, c.vec_id, list_inner_product(q.w, c.w)::bigint as score
+  from v q, v c where q.vec_id % 100 = 0 and q.vec_id <> c.vec_id),
+r as (select *, row_number() over (partition by query_id order by score desc, vec_id)::integer as rank from s)
+select query_id, rank, vec_id, score from r where rank <= 10
+""")
+def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kd_search.top_k(table(spark, sf_dir, "embeddings"), HUNDREDTH)
+
+
+@query()
 def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.epochs(table(spark, sf_dir, "documents").select("doc_id", "source", "text"))
     return mixed.select("doc_id", "source", mixing.n_tokens().alias("n_tokens"), "weight", "copies")
 
 
-@query
+@query()
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
+
+
+@query()
+def op9_ann_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return learned_ann.nearest(table(spark, sf_dir, "embeddings"), HUNDREDTH)
+
+
+DAMAGED, LOST = "page_id % 97 = 5", "page_id % 101 = 7"  # rot planted in the second replica, at every size
+
+
+@query(f"""
+with p as (select page_id, coalesce(url, '') as url, coalesce(html, '') as html from pages),
+h as (select *, 'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Target-URI: ' || url
+    || chr(13) || chr(10) || 'Content-Type: application/http;msgtype=response' || chr(13) || chr(10)
+    || 'Content-Length: ' || strlen(html) || chr(13) || chr(10) || chr(13) || chr(10) as head from p),
+r as (select page_id, page_id // 1000 as file, strlen(head) + strlen(html) + 4 as length,
+    sha256('00' || sha256(head) || sha256(html)) as first_record,
+    sha256('00' || sha256(head) || sha256(case when {DAMAGED} then translate(html, 'e', 'x') else html end)) as second_record
+  from h),
+o as (select *, coalesce(sum(length) over (partition by file order by page_id, first_record rows between unbounded preceding and 1 preceding), 0)::bigint as "offset" from r),
+l as (select file, "offset", sha256(first_record) as first_hash, case when {LOST} then null else sha256(second_record) end as second_hash from o)
+select file, ("offset" // 65536) * 65536 as range_start, "offset", case when second_hash is null then 'missing' else 'altered' end as status,
+  first_hash, second_hash
+from l where first_hash is distinct from second_hash
+""")
+def op10_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audit of the pages' archive against a replica of it with altered and lost records."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    rotten = pages.withColumn("html", F.when(F.expr(DAMAGED), F.translate("html", "e", "x")).otherwise(F.col("html")))
+    replica = warc_fixity.archived(rotten).where(~F.coalesce(F.expr(LOST), F.lit(False)))
+    return warc_fixity.audit(warc_fixity.archived(pages), replica)
