@@ -131,8 +131,8 @@ def _away(vectors: pa.Table, queries: pa.Table, scale: int, k: int) -> pa.Table:
 
 
 def top_k(vectors: DataFrame, is_query, k: int = 10, scale: int = 1024, shard_rows: int = SHARD_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """(query_id, rank, vec_id, score) over vectors(vec_id, embedding); is_query is a condition on vec_id."""
-    v = usable(vectors).withColumn("is_query", is_query)
+    """(query_id, rank, vec_id, score) over vectors(vec_id, embedding); is_query is a condition on vec_id, SQL or a column."""
+    v = usable(vectors).withColumn("is_query", F.expr(is_query) if isinstance(is_query, str) else is_query)
     sizes = v.agg(F.count("*").alias("n"), F.count_if("is_query").alias("q")).first()
     shards, blocks = max(1, -(-sizes["n"] // shard_rows)), max(1, -(-sizes["q"] // block_rows))
     v = v.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))

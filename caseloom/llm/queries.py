@@ -64,7 +64,7 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.counted(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary).drop("text")
 
 
-HUNDREDTH = F.col("vec_id") % 100 == 0  # the stated query set
+HUNDREDTH = "vec_id % 100 = 0"  # the stated query set
 
 WHOLE = "list_transform(embedding, lambda x: floor(1024 * x::double))"
 USABLE = "embedding is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0"
