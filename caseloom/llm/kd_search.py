@@ -15,7 +15,6 @@ candidates. Ties go to the smaller id. Fewer than k candidates: all of them. Sco
 from __future__ import annotations
 
 import heapq
-from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -121,13 +120,22 @@ def _table(rows: list[tuple]) -> pa.Table:
     return pa.table({"query_id": pa.array(q, pa.int64()), "vec_id": pa.array(v, pa.int64()), "score": pa.array(s, pa.int64())})
 
 
-def _home(cell: pa.Table, scale: int, k: int) -> pa.Table:
-    own = cell.filter(cell["is_query"])
-    return _table(_searched(cell, own, scale, k) if own.num_rows else [])
+def _home(scale: int, k: int):
+    """Search of a shard by the queries that live in it."""
+    def run(cell: pa.Table) -> pa.Table:
+        own = cell.filter(cell["is_query"])
+        return _table(_searched(cell, own, scale, k) if own.num_rows else [])
 
+    return run
 
-def _away(vectors: pa.Table, queries: pa.Table, scale: int, k: int) -> pa.Table:
-    return _table(_searched(vectors, queries, scale, k) if vectors.num_rows and queries.num_rows else [])
+
+def _away(scale: int, k: int):
+    """Search of a shard by a block of queries from other shards."""
+    def run(vectors: pa.Table, queries: pa.Table) -> pa.Table:
+        queries = queries.rename_columns([c.removeprefix("q_") for c in queries.column_names])
+        return _table(_searched(vectors, queries, scale, k) if vectors.num_rows and queries.num_rows else [])
+
+    return run
 
 
 def top_k(vectors: DataFrame, is_query, k: int = 10, scale: int = 1024, shard_rows: int = SHARD_ROWS, block_rows: int = BLOCK_ROWS) -> DataFrame:
@@ -136,7 +144,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 10, scale: int = 1024, shard_ro
     sizes = v.agg(F.count("*").alias("n"), F.count_if("is_query").alias("q")).first()
     shards, blocks = max(1, -(-sizes["n"] // shard_rows)), max(1, -(-sizes["q"] // block_rows))
     v = v.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
-    home = cut_lineage(v.groupBy("dim", "shard").applyInArrow(partial(_home, scale=scale, k=k), FOUND), "home")
+    home = cut_lineage(v.groupBy("dim", "shard").applyInArrow(_home(scale, k), FOUND), "home")
     if shards == 1:
         return ranked(home, k, "high")
     floors = home.groupBy("query_id").agg(F.when(F.count("*") >= k, F.min("score")).alias("floor"))
@@ -144,7 +152,8 @@ def top_k(vectors: DataFrame, is_query, k: int = 10, scale: int = 1024, shard_ro
         "vec_id", "dim", "embedding", "floor", F.col("shard").alias("own"),
         F.pmod(F.xxhash64("vec_id", F.lit(1)), F.lit(blocks)).cast("int").alias("block"))
     asked = asked.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))).where("shard <> own").drop("own")
+    asked = asked.select(*[F.col(c).alias(f"q_{c}") for c in asked.columns])  # both sides come from one frame
     dealt = v.select("vec_id", "dim", "embedding", "shard", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"))
     cell = ["dim", "shard", "block"]
-    away = dealt.groupBy(*cell).cogroup(asked.groupBy(*cell)).applyInArrow(partial(_away, scale=scale, k=k), FOUND)
+    away = dealt.groupBy(*cell).cogroup(asked.groupBy(*[f"q_{c}" for c in cell])).applyInArrow(_away(scale, k), FOUND)
     return ranked(home.union(away), k, "high")
