@@ -146,38 +146,31 @@ def grown(rows: DataFrame, names: list[str], label: str = "y") -> Trees:
     for _ in range(TREES):
         trees.splits.append({})
         open_nodes = {1}
-        for depth in range(DEPTH + 1):
+        sides: dict[int, tuple] = {}  # gradient, curvature and rows of each node
+        for depth in range(DEPTH):
             sums = _histogram(rows, trees, cuts, label)
-            if depth == 0:
-                sides = {}
-            leaf = {n: _totals(s) for n, s in sums.items()}
-            sides.update(leaf)
-            open_nodes &= set(sums)
-            if depth == DEPTH:
-                break
             fresh = set()
-            for n in open_nodes:
-                best = _best_split(sums[n], cuts)
-                if best:
-                    trees.splits[-1][n] = best
+            for n in open_nodes & set(sums):
+                sides.setdefault(n, _totals(sums[n]))
+                if best := _best_split(sums[n], cuts):
+                    trees.splits[-1][n] = best[:2]
+                    sides[2 * n], sides[2 * n + 1] = best[2:]
                     fresh |= {2 * n, 2 * n + 1}
             open_nodes = fresh
             if not fresh:
                 break
         trees.leaves.append({n: -RATE * g / (h + RIDGE) for n, (g, h, _) in sides.items() if n not in trees.splits[-1]})
-        for n in list(trees.splits[-1]):
-            for child in (2 * n, 2 * n + 1):
-                if child not in trees.splits[-1]:
-                    trees.leaves[-1].setdefault(child, 0.0)
+        trees.leaves[-1].setdefault(1, 0.0)
     return trees
 
 
 def _histogram(rows: DataFrame, trees: Trees, cuts: dict[str, list[float]], label: str) -> dict[int, dict[str, dict[int, tuple]]]:
     """Sums of gradient and curvature by node, feature and bin."""
+    def bin_of(name: str) -> Column:
+        return F.size(F.filter(F.array(*[F.lit(c) for c in cuts[name]]), lambda cut: cut < F.col(name)))
+
     p = 1 / (1 + F.exp(-trees.margin(F.col)))
-    binned = F.array(*[
-        F.struct(F.lit(k).alias("f"), F.size(F.filter(F.array(*[F.lit(c) for c in cuts[name]]), lambda c, name=name: c < F.col(name))).alias("b"))
-        for k, name in enumerate(trees.names) if cuts[name]])
+    binned = F.array(*[F.struct(F.lit(k).alias("f"), bin_of(name).alias("b")) for k, name in enumerate(trees.names) if cuts[name]])
     flat = rows.select(trees.node(len(trees.splits) - 1, F.col).alias("node"), (p - F.col(label)).alias("g"), (p * (1 - p)).alias("h"), F.explode(binned).alias("x"))
     out: dict = {}
     for r in flat.groupBy("node", "x.f", "x.b").agg(F.sum("g").alias("g"), F.sum("h").alias("h"), F.count("*").alias("n")).collect():
@@ -190,7 +183,8 @@ def _totals(sums: dict[str, dict[int, tuple]]) -> tuple[float, float, int]:
     return tuple(sum(v[k] for v in any_feature.values()) for k in range(3))
 
 
-def _best_split(sums: dict[str, dict[int, tuple]], cuts: dict[str, list[float]]) -> tuple[str, float] | None:
+def _best_split(sums: dict[str, dict[int, tuple]], cuts: dict[str, list[float]]) -> tuple | None:
+    """(feature, threshold, left totals, right totals) of the split that gains most."""
     g, h, n = _totals(sums)
     best, where = 1e-6, None
     for name in sorted(sums):
@@ -202,7 +196,7 @@ def _best_split(sums: dict[str, dict[int, tuple]], cuts: dict[str, list[float]])
                 continue
             gain = gl * gl / (hl + RIDGE) + (g - gl) ** 2 / (h - hl + RIDGE) - g * g / (h + RIDGE)
             if gain > best * (1 + 1e-9) + 1e-9:
-                best, where = gain, (name, float(at))
+                best, where = gain, (name, float(at), (gl, hl, nl), (g - gl, h - hl, n - nl))
     return where
 
 
