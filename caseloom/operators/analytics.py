@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from caseloom import fixed
 from caseloom.functions import text as tx
+from caseloom.operators.ranking import numbered
 from caseloom.operators.rows import basis_date, list_key, list_order, range_bounds
 
 FRESH = "followup_uid is null"
@@ -149,8 +150,11 @@ def role_stats(rows: DataFrame, addresses: DataFrame, blacklist: DataFrame) -> D
         role.alias("role"), "addresses", "incidents", "blacklisted")
 
 
-def address_list(rows: DataFrame, addresses: DataFrame, role=None, chain=None, q=None) -> DataFrame:
-    """One row per address with best role, first note, incident count and the latest day it was seen."""
+def address_list(rows: DataFrame, addresses: DataFrame, role=None, chain=None, q=None, kind=None, labels: DataFrame | None = None) -> DataFrame:
+    """One row per address with best role, first note, incident count and the latest day it was seen.
+
+    labels: (low, kind, ctype, label, tx_count), one row an address; an address without one is of kind 'unchecked'.
+    """
     joined = addresses.join(rows.select("uid", "day", "incident_date", F.col("project")), "uid")
     if role:
         joined = joined.where(F.col("role") == role)
@@ -165,7 +169,17 @@ def address_list(rows: DataFrame, addresses: DataFrame, role=None, chain=None, q
     out = per_incident.groupBy("low").agg(
         F.min("f").alias("f"), F.min("r").alias("r"), F.max("day").alias("last_day"), F.count("*").alias("incidents"))
     names = F.element_at(F.array(*[F.lit(r) for r in fixed.ROLES]), F.col("r") + 1)
-    return out.select("low", "f.address", "f.chain", "f.note", "f.project", names.alias("role"), "last_day", "incidents")
+    out = out.select("low", "f.address", "f.chain", "f.note", "f.project", names.alias("role"), "last_day", "incidents")
+    if labels is None:
+        return out
+    out = out.join(labels, "low", "left").withColumn("kind", F.coalesce("kind", F.lit("unchecked")))
+    return out.where(F.col("kind") == kind) if kind else out
+
+
+def address_counts(listed: DataFrame) -> DataFrame:
+    """(facet, value, n) of an address list with labels: its addresses by role, chain and kind."""
+    facets = F.array(*[F.struct(F.lit(c).alias("facet"), F.col(c).alias("value")) for c in ("role", "chain", "kind")])
+    return listed.select(F.explode(facets).alias("f")).groupBy("f.facet", "f.value").agg(F.count("*").alias("n"))
 
 
 def sort_incidents(rows: DataFrame, sort: str = "day", direction: str | None = None) -> DataFrame:
@@ -202,19 +216,30 @@ def top_amounts(rows: DataFrame, k: int = 10) -> DataFrame:
     return rows.where(_amount().isNotNull()).orderBy(F.desc("amount_usd"), "uid").limit(k)
 
 
+def worth_alerting(incidents: DataFrame, channels: DataFrame) -> DataFrame:
+    """(channel, incident) rows of at least the channel's minimum amount, unless their type is exempt."""
+    amount = F.coalesce("amount_usd", F.lit(0.0))
+    worth = (F.col("min_amount") == 0) | (amount >= F.col("min_amount")) | F.col("incident_type").isin(fixed.ALERT_EXEMPT_TYPES)
+    return incidents.join(channels, "channel").where(worth)
+
+
 def top_alerts(incidents: DataFrame, channels: DataFrame) -> DataFrame:
-    """Per channel the largest unsent incidents: minimum amount unless exempt, at most max_per_run.
+    """Per channel the longest waiting, then largest unsent incidents that are worth it, at most max_per_run.
 
-    incidents: (channel, uid, incident_type, amount_usd); channels: (channel, min_amount, max_per_run).
+    incidents: (channel, uid, incident_type, amount_usd, and since where they queue); channels: (channel, min_amount,
+    max_per_run), the configuration, read here: each channel is a top-k of its own.
     """
-    amount = F.coalesce("amount_usd", F.lit(0.0))
-    worth = (F.col("min_amount") == 0) | (amount >= F.col("min_amount")) | F.col("incident_type").isin(
-        fixed.ALERT_EXEMPT_TYPES)
-    w = Window.partitionBy("channel").orderBy(F.desc(amount), "uid")
-    return (
-        incidents.join(channels, "channel").where(worth).withColumn("position", F.row_number().over(w))
-        .where(F.col("position") <= F.col("max_per_run"))
-    )
+    if "min_amount" not in incidents.columns:
+        incidents = worth_alerting(incidents, channels)
+    since = [F.col("since")] if "since" in incidents.columns else []
+    order = [*since, F.desc(F.coalesce("amount_usd", F.lit(0.0))), F.col("uid")]
+    chosen = None
+    for c in channels.orderBy("channel").collect():
+        top = incidents.where(F.col("channel") == c["channel"]).orderBy(*order).limit(c["max_per_run"])
+        chosen = top if chosen is None else chosen.unionByName(top)
+    if chosen is None:
+        chosen = incidents.where("false")
+    return chosen.withColumn("position", F.row_number().over(Window.partitionBy("channel").orderBy(*order)))  # of max_per_run rows
 
 
 def lookup(rows: DataFrame, addresses: DataFrame, sdn: DataFrame, blacklist: DataFrame, q: str) -> DataFrame:
@@ -233,7 +258,9 @@ def lookup(rows: DataFrame, addresses: DataFrame, sdn: DataFrame, blacklist: Dat
     listed = blacklist.where(F.col("key") == tx.hex_key(F.lit(q.strip()))).select(
         F.lit("blacklist").alias("kind"), F.col("key").alias("address"), F.array_join("sources", "|").alias("ref"),
         F.array_join("labels", "|").alias("detail"))
-    return cases.unionByName(sanctioned).unionByName(listed).select(*keys)
+    hits = cases.unionByName(sanctioned).unionByName(listed).select(*keys)
+    found = hits.agg((F.count("*") > 0).cast("string").alias("ref"))  # of the 250 rows above at most, and one
+    return hits.unionByName(found.select(F.lit("found").alias("kind"), F.lit(needle).alias("address"), "ref", F.lit("").alias("detail")))
 
 
 def suggest(rows: DataFrame, q: str, k: int = 10) -> DataFrame:
@@ -250,8 +277,23 @@ def detail(rows: DataFrame, links: DataFrame, uid: str) -> DataFrame:
     return rows.join(F.broadcast(wanted), "uid", "left_semi")  # one row
 
 
-def meta(rows: DataFrame, addresses: DataFrame, sources: DataFrame) -> DataFrame:
-    """Totals of the whole table, one row."""
+def source_runs(items: DataFrame) -> DataFrame:
+    """(source, last_day, last_count, total): the last day each source was collected on, and what it gave."""
+    per_day = items.groupBy("source", "coll_day").agg(F.count("*").alias("n"))
+    return per_day.groupBy("source").agg(F.max("coll_day").alias("last_day"), F.max_by("n", "coll_day").alias("last_count"), F.sum("n").alias("total"))
+
+
+def meta(rows: DataFrame, addresses: DataFrame, sources: DataFrame, items: DataFrame | None = None) -> DataFrame:
+    """Totals of the whole table, one row; with items (coll_day, relevant) also the last day's collection."""
+    head = _totals(rows, addresses, sources)
+    if items is None:
+        return head
+    last = items.groupBy("coll_day").agg(F.count("*").alias("n"), F.count_if("relevant").alias("r")).select(
+        F.max(F.struct("coll_day", "n", "r")).alias("run")).select("run.*")
+    return head.join(last.select(F.col("coll_day").alias("last_run"), F.col("n").alias("last_collected"), F.col("r").alias("last_relevant")))
+
+
+def _totals(rows: DataFrame, addresses: DataFrame, sources: DataFrame) -> DataFrame:
     head = rows.agg(
         F.count_distinct("day").alias("days"), F.min("day").alias("first_day"), F.max("day").alias("last_day"),
         F.min("event_date").alias("first_event_day"), F.count("*").alias("rows_total"),
@@ -308,15 +350,24 @@ def briefing_lines(rows: DataFrame) -> DataFrame:
                        F.col("type"), F.coalesce(money(F.col("amount_usd")),
                                                  F.when(F.col("amount_text") != "", F.col("amount_text")),
                                                  F.lit("amount n/a")), F.date_format("event_date", "yyyy-MM-dd"))
-    w = Window.partitionBy("day", "section").orderBy(F.desc("amount"), "uid")
-    return rows.select("day", "uid", section.alias("section"), amount.alias("amount"), line.alias("line")).withColumn(
-        "position", F.row_number().over(w).cast("bigint"))
+    bullets = rows.select("day", "uid", section.alias("section"), (-amount).alias("less"), line.alias("line"))
+    return numbered(bullets, ["day", "section"], ["less", "uid"], "position").drop("less")
+
+
+def briefing_index(cards: DataFrame, rows: DataFrame) -> DataFrame:
+    """Per month and day: headline, relevant and total cards."""
+    heads = briefing(rows).select("day", "headline")
+    return cards.groupBy(F.date_format("coll_day", "yyyy-MM").alias("month"), F.col("coll_day").alias("day")).agg(
+        F.count_if("relevant").alias("relevant"), F.count("*").alias("total")).join(heads, "day", "left")
 
 
-def briefing_index(rows: DataFrame) -> DataFrame:
-    """Per month and day: relevant and total cards."""
-    return rows.groupBy(F.date_format("coll_day", "yyyy-MM").alias("month"), F.col("coll_day").alias("day")).agg(
-        F.count_if("relevant").alias("relevant"), F.count("*").alias("total"))
+def briefing_of(rows: DataFrame, day: str = "latest") -> DataFrame:
+    """Headline, bullets and rows, follow-ups included, of a day: (day, section, position, uid, line); section 0 is the headline, 9 a row."""
+    wanted = rows.select(F.max("day")).scalar() if day == "latest" else F.lit(day).cast("date")
+    here = rows.where(F.col("day") == wanted)
+    head = briefing(here).select("day", F.lit(0).alias("section"), F.lit(1).cast("bigint").alias("position"), F.lit(None).cast("string").alias("uid"), F.col("headline").alias("line"))
+    shown = here.select("day", F.lit(9).alias("section"), F.lit(None).cast("bigint").alias("position"), "uid", F.col("title").alias("line"))
+    return head.unionByName(briefing_lines(here).select("day", "section", "position", "uid", "line")).unionByName(shown)
 
 
 def backfill_years(cards: DataFrame) -> DataFrame:

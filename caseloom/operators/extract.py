@@ -108,21 +108,34 @@ def tx_hashes(text: Column, bare: bool = False) -> Column:
     return F.array_distinct(F.transform(hits, lambda h: F.lower(h)))
 
 
+# fixed value: a day written in a text, as year-month-day or as month name, day, year
+DAY_FORM = r"(?:^|[^0-9A-Za-z-])([0-9]{4}-[0-9]{2}-[0-9]{2}|[A-Z][a-z]{2,8} [0-9]{1,2}, [0-9]{4})(?:[^0-9A-Za-z-]|$)"
+
+
 def mentions(texts: DataFrame) -> DataFrame:
-    """texts(uid, text) -> (uid, kind, value): addresses, transactions, money, chains."""
+    """texts(uid, text) -> (uid, kind, value, norm, pos): addresses, transactions, money, chains, days.
+
+    norm is the form a mention is compared by, one row each; value the first spelling and pos its place among the
+    mentions of that kind, from 0.
+    """
     texts = spread(texts)
-    by_address = addresses(texts).select("uid", F.lit("address").alias("kind"), F.concat_ws(":", "chain", "address")
-                                         .alias("value"))
+    by_address = addresses(texts).select(
+        "uid", F.lit("address").alias("kind"), F.concat(F.col("chain"), F.lit(":"), tx.hex_key(F.col("address"))).alias("norm"),
+        F.struct((F.col("pos") % 1_000_000).cast("int").alias("pos"), F.col("address").alias("value")).alias("s"))
 
-    def several(kind: str, values: Column) -> Column:
-        return F.transform(values, lambda v: F.struct(F.lit(kind).alias("kind"), v.cast("string").alias("value")))
+    def several(kind: str, values: Column, norm=None) -> Column:
+        return F.transform(values, lambda v, i: F.struct(
+            F.lit(kind).alias("kind"), (norm(v) if norm else v).cast("string").alias("norm"),
+            F.struct(i.alias("pos"), v.cast("string").alias("value")).alias("s")))
 
     t = F.col("text")
+    days = F.regexp_extract_all(F.coalesce(t, F.lit("")), F.lit(DAY_FORM), F.lit(1))
     rest = texts.select("uid", F.explode(F.concat(
         several("tx", tx_hashes(t)), several("chain", tx.chain_mentions(t)),
-        several("money", F.transform(tx.money_values(t), lambda v: v.cast("decimal(20,0)"))),
-    )).alias("m")).select("uid", "m.*")
-    return by_address.unionByName(rest).distinct()
+        several("money", F.transform(tx.money_values(t), lambda v: v.cast("decimal(20,0)"))), several("date", days, tx.to_day),
+    )).alias("m")).select("uid", "m.*").where("norm is not null")
+    first = by_address.unionByName(rest).groupBy("uid", "kind", "norm").agg(F.min("s").alias("s"))
+    return first.select("uid", "kind", "s.value", "norm", "s.pos")
 
 
 def relevance(texts: DataFrame) -> DataFrame:
@@ -135,7 +148,7 @@ def relevance(texts: DataFrame) -> DataFrame:
 
 
 def name_keys(cards: DataFrame) -> DataFrame:
-    """(uid, kind, value): the keys a card's name is compared by."""
+    """(uid, kind, value, rarity): the keys a card's name is compared by, and how many cards have each."""
     name = F.when(F.coalesce("project", F.lit("")) != "", F.col("project")).otherwise(F.col("title"))
     norm = tx.normalize_name(name)
 
@@ -146,7 +159,8 @@ def name_keys(cards: DataFrame) -> DataFrame:
         several("norm", F.array(norm)), several("group", F.array(tx.group_key(name))),
         several("word", tx.name_tokens(name)), several("trigram", tx.trigrams(norm)),
         several("url", F.array(tx.url_key(F.col("url")))))
-    return cards.select("uid", F.explode(keys).alias("k")).select("uid", "k.*")
+    rows = cards.select("uid", F.explode(keys).alias("k")).select("uid", "k.*")
+    return rows.join(rows.groupBy("kind", "value").agg(F.count("*").alias("rarity")), ["kind", "value"]).select("uid", "kind", "value", "rarity")
 
 
 def address_formats(found: DataFrame) -> DataFrame:

@@ -46,16 +46,17 @@ def _right(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
     return cells.select(*keys, F.col("scope").alias("scope_r"), *[F.col(c).alias(f"{c}_r") for c in cols], "ord")
 
 
-def followup_links(incidents: DataFrame, addresses: DataFrame, decisions: DataFrame | None = None) -> DataFrame:
+def followup_links(incidents: DataFrame, addresses: DataFrame, decisions: DataFrame | None = None,
+                   tx_rows: DataFrame | None = None) -> DataFrame:
     """(uid, day, orig_uid, orig_day): each incident with its earliest match among the 14 days before.
 
-    incidents: golden records; addresses: (uid, address, role) of golden records.
+    incidents: golden records; addresses: (uid, address, role) of golden records; tx_rows: (uid, tx), all their hashes.
     """
     p = cut_lineage(resolve.profiles(incidents).withColumn("ord", history_order()), "history")
     hits = []
 
     # shared address or transaction: per key and day one history row, carried to each of the next 14 days
-    keys = resolve.shared_keys(incidents, addresses)
+    keys = resolve.shared_keys(incidents, addresses, tx_rows)
     seen = keys.join(p.select("uid", "ord"), "uid").groupBy("key", "scope").agg(F.min("ord").alias("ord"))
     carried = seen.withColumn("scope", F.explode(F.sequence(F.date_add("scope", 1), F.date_add("scope", DAYS))))
     earliest = carried.groupBy("key", "scope").agg(F.min("ord").alias("hit"))
@@ -78,11 +79,13 @@ def followup_links(incidents: DataFrame, addresses: DataFrame, decisions: DataFr
     hits.append(_prior(_left(paid, ["norm", "bin"], ["amount", "pub"]), _right(near, ["norm", "bin"], ["amount", "pub"]),
                        ["norm", "bin"], close))
 
-    # matching names with compatible dates
-    nodes = resolve.name_nodes(p).join(p.select("uid", "ord"), "uid")
-    pairs = cut_lineage(resolve.node_pairs(resolve.name_pairs(p), nodes), "names")
+    # matching names with compatible dates; names are compared where their days can be 14 days apart
+    bin_ = F.floor(F.unix_date("scope") / F.lit(DAYS)).cast("bigint")
+    nodes = resolve.name_nodes(p, "ord").withColumn("g", bin_)
+    both = p.select("scope", "norm", "toks").distinct().withColumn("g", F.explode(F.array(bin_, bin_ + 1)))
+    pairs = cut_lineage(resolve.node_pairs(resolve.name_pairs(both, ["g"]), nodes, ["g"]), "names")
     dates = ["inc", "pub", "lb"]
-    left = _left(nodes, ["node", "fam"], dates).withColumnRenamed("node", "x").join(pairs, "x").drop("x")
+    left = _left(nodes, ["g", "node", "fam"], dates).withColumnRenamed("node", "x").join(pairs, ["g", "x"]).drop("g", "x")
     right = _right(nodes, ["node", "fam"], dates).withColumnRenamed("node", "y")
     hits.append(_prior(left, right, ["y", "fam"], resolve.dates_fit("l", "r")))
 

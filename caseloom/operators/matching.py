@@ -77,6 +77,22 @@ def known_addresses(cards: DataFrame, addresses: DataFrame, sdn: DataFrame) -> D
     ).where("other_cards > 0 or sanctions > 0")
 
 
+def known_address_hits(cards: DataFrame, addresses: DataFrame, sdn: DataFrame) -> DataFrame:
+    """(address, kind, ref, detail, role): each card and list entry of the addresses that are no card's alone.
+
+    One row an occurrence, keyed by address: whoever shows a card's known addresses reads them from here.
+    """
+    own = addresses.join(cards.select("uid", "project"), "uid").groupBy(F.lower("address").alias("low"), "uid").agg(
+        F.min("project").alias("detail"), F.min(F.struct(tx.role_rank(F.col("role")).alias("r"), "role"))["role"].alias("role"))
+    listed = sdn.select(F.lower("address").alias("low"), F.col("entity_uid").alias("ref"), F.col("entity_name").alias("detail")).distinct()
+    several = own.groupBy("low").agg(F.count("*").alias("n"))
+    held = several.join(listed.select("low").distinct().withColumn("on_list", F.lit(True)), "low", "left").where("n > 1 or on_list").select("low")
+    of_cards = own.join(held, "low", "left_semi").select(F.col("low").alias("address"), F.lit("card").alias("kind"), F.col("uid").alias("ref"), "detail", "role")
+    of_lists = listed.join(several, "low", "left_semi").select(
+        F.col("low").alias("address"), F.lit("sanction").alias("kind"), "ref", "detail", F.lit("sanctioned").alias("role"))
+    return of_cards.unionByName(of_lists)
+
+
 def attach_labels(addresses: DataFrame, labels: DataFrame) -> DataFrame:
     """Kind, type, label and flags of the address check next to each address."""
     plain = labels.select(tx.hex_key(F.col("address")).alias("key"), "kind", "ctype", "label", "tx_count", "scam",

@@ -17,6 +17,7 @@ from caseloom.session import cut_lineage, spread
 
 SALTS = 32
 SKETCH = 65536
+PAIRED = 16
 
 
 def profiles(cards: DataFrame) -> DataFrame:
@@ -51,17 +52,21 @@ def star(members: DataFrame, keys: list[str]) -> DataFrame:
     return salted.join(spread, [*keys, "_s"]).where("a <> uid").select("a", F.col("uid").alias("b")).distinct()
 
 
-def shared_keys(cards: DataFrame, addresses: DataFrame) -> DataFrame:
-    """(scope, key, uid) of every address, victims aside, and transaction hash of a relevant card."""
+def shared_keys(cards: DataFrame, addresses: DataFrame, tx_rows: DataFrame | None = None) -> DataFrame:
+    """(scope, key, uid) of every address, victims aside, and transaction hash of a relevant card.
+
+    tx_rows: (uid, tx), where hashes are a table of their own; else they are read off the cards.
+    """
     live = cards.where("relevant").select("uid", F.col("coll_day").alias("scope"), "tx_hashes")
     by_address = (
         addresses.where(F.col("role") != "victim")
         .select("uid", F.concat(F.lit("a:"), F.lower("address")).alias("key"))
         .join(live.select("uid", "scope"), "uid")
     )
-    by_tx = live.select("uid", F.explode("tx_hashes").alias("t"), "scope").select(
-        "uid", F.concat(F.lit("t:"), F.lower("t")).alias("key"), "scope"
-    )
+    if tx_rows is None:
+        tx_rows = live.select("uid", F.explode("tx_hashes").alias("tx"))
+    by_tx = tx_rows.join(live.select("uid", "scope"), "uid").select(
+        "uid", F.concat(F.lit("t:"), F.lower("tx")).alias("key"), "scope")
     return by_address.unionByName(by_tx).distinct()
 
 
@@ -152,25 +157,33 @@ def rare_first(sets: DataFrame, key: list[str], items: str) -> DataFrame:
 
 
 def jaccard_pairs(sets: DataFrame, group: list[str], ident: str, items: str, threshold: float) -> DataFrame:
-    """Pairs of sets in a group with Jaccard similarity of at least threshold, by prefix filtering.
+    """Pairs of sets in a group with Jaccard similarity of at least threshold (a half or more), by prefix filtering.
 
     The smaller set of a pair is found through its index prefix, the larger one through its probe prefix; both follow
-    from the smallest overlap such a pair can have, so no pair is lost.
+    from the smallest overlap such a pair can have, so no pair is lost. Sets of 4 to PAIRED items meet by two items of
+    prefixes one longer: a pair that must share two items shares two there. Lists of such keys stay short where lists
+    of single trigrams grow with the data.
     """
     t = threshold
     s = rare_first(sets, [*group, ident], items).withColumn("n", F.size("items"))
-    index_len = F.col("n") - F.ceil(F.col("n") * (2 * t / (1 + t)) - 1e-9) + 1
-    probe_len = F.col("n") - F.ceil(F.col("n") * t - 1e-9) + 1
-
-    def side(length: Column, tag: str) -> DataFrame:
-        return s.select(
-            *group, F.col(ident).alias(f"id_{tag}"), F.col("n").alias(f"n_{tag}"),
-            F.explode(F.slice("items", F.lit(1), length.cast("int"))).alias("_t"),
-        )
-
-    small, large = side(index_len, "a"), side(probe_len, "b")
+    n = F.col("n")
+    index_len = n - F.ceil(n * (2 * t / (1 + t)) - 1e-9) + 1
+    probe_len = n - F.ceil(n * t - 1e-9) + 1
+
+    def side(length: Column, tag: str, single: Column, paired: Column) -> DataFrame:
+        one = F.transform(F.slice("items", F.lit(1), length.cast("int")), lambda x: F.xxhash64(x))
+        head = F.slice("items", F.lit(1), (length + 1).cast("int"))
+        two = F.flatten(F.transform(head, lambda x, i: F.transform(
+            F.slice(head, i + 2, F.size(head)), lambda y: F.xxhash64(x, y))))
+        none = F.array().cast("array<bigint>")
+        keys = F.concat(F.when(single, one).otherwise(none), F.when(paired, two).otherwise(none))
+        return s.select(*group, F.col(ident).alias(f"id_{tag}"), n.alias(f"n_{tag}"), F.explode(keys).alias("_k"))
+
+    small = side(index_len, "a", (n < 4) | (n > PAIRED), n.between(4, PAIRED))
+    # the larger set of a pair has at most 1 / t times the items of the smaller one
+    large = side(probe_len, "b", (n * t <= 3 + 1e-9) | (n > PAIRED), (n >= 4) & (n * t <= PAIRED + 1e-9))
     candidates = (
-        small.join(large, [*group, "_t"])
+        small.join(large, [*group, "_k"])
         .where("n_a < n_b or (n_a = n_b and id_a < id_b)")
         .where(F.col("n_a") >= F.col("n_b") * t - 1e-9)
         .select(*group, "id_a", "id_b").distinct()
@@ -183,51 +196,52 @@ def jaccard_pairs(sets: DataFrame, group: list[str], ident: str, items: str, thr
     )
 
 
-def name_pairs(p: DataFrame) -> DataFrame:
-    """Matching pairs of distinct names as (rule, a, b).
+def name_pairs(p: DataFrame, group: list[str]) -> DataFrame:
+    """Matching pairs of distinct names of one group (the days that can meet) as (*group, rule, a, b).
 
     Names are compared as normalised strings (prefix, trigrams) and as word sets (subset), each distinct value once.
     """
     valid = p.where(~F.col("norm").isin(fixed.GENERIC_NAMES))
-    norms = valid.select("norm").distinct()
+    norms = valid.select(*group, "norm").distinct()
     # a name is a prefix of another when it equals one of the other's prefixes: an equality join, true pairs only
     heads = norms.where("length(norm) > 4").select(
-        F.col("norm").alias("b"),
+        *group, F.col("norm").alias("b"),
         F.explode(F.transform(F.sequence(F.lit(4), F.length("norm") - 1), lambda n: F.substring("norm", F.lit(1), n)))
         .alias("a"),
     )
-    prefix = heads.join(norms.select(F.col("norm").alias("a")), "a").select(F.lit("prefix").alias("rule"), "a", "b")
+    prefix = heads.join(norms.select(*group, F.col("norm").alias("a")), [*group, "a"]).select(
+        *group, F.lit("prefix").alias("rule"), "a", "b")
 
     grams = norms.withColumn("grams", tx.trigrams(F.col("norm")))
-    similar = jaccard_pairs(grams, [], "norm", "grams", fixed.NAME_JACCARD).select(
-        F.lit("trigram").alias("rule"), F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")
+    similar = jaccard_pairs(grams, group, "norm", "grams", fixed.NAME_JACCARD).select(
+        *group, F.lit("trigram").alias("rule"), F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")
     )
 
     # a word set lies inside another when both of its rarest words do; single words join on that word
-    sets = valid.where(F.size("toks") > 0).select("toks").distinct()
+    sets = valid.where(F.size("toks") > 0).select(*group, "toks").distinct()
     sets = sets.withColumn("ts", F.array_join("toks", " "))
-    ranked = rare_first(sets, ["ts"], "toks")
-    words = ranked.select("ts", "items", F.posexplode("items").alias("i", "w"))
+    ranked = rare_first(sets, [*group, "ts"], "toks")
+    words = ranked.select(*group, "ts", "items", F.posexplode("items").alias("i", "w"))
     all_pairs = words.select(
-        "ts", "w", F.explode(F.concat(F.array(F.lit("")), F.filter("items", lambda v: v != F.col("w")))).alias("v")
+        *group, "ts", "w", F.explode(F.concat(F.array(F.lit("")), F.filter("items", lambda v: v != F.col("w")))).alias("v")
     )
-    probe = all_pairs.select(F.col("ts").alias("b"), F.concat_ws(" ", "w", "v").alias("k"))
+    probe = all_pairs.select(*group, F.col("ts").alias("b"), F.concat_ws(" ", "w", "v").alias("k"))
     small = ranked.select(
-        F.col("ts").alias("a"), F.col("items").alias("_ia"),
+        *group, F.col("ts").alias("a"), F.col("items").alias("_ia"),
         F.concat_ws(" ", F.col("items")[0], F.coalesce(F.get("items", F.lit(1)), F.lit(""))).alias("k"),
     )
     subset = (
-        small.join(probe, "k").where("a <> b")
+        small.join(probe, [*group, "k"]).where("a <> b")
         .where(F.size(F.array_except("_ia", F.split("b", " "))) == 0)
-        .select(F.lit("words").alias("rule"), "a", "b").distinct()
+        .select(*group, F.lit("words").alias("rule"), "a", "b").distinct()
     )
     return prefix.unionByName(similar).unionByName(subset)
 
 
-def name_nodes(p: DataFrame) -> DataFrame:
+def name_nodes(p: DataFrame, *more: str) -> DataFrame:
     """Each card under its normalised name and under its word set."""
     valid = p.where(~F.col("norm").isin(fixed.GENERIC_NAMES))
-    cols = ["scope", "fam", "inc", "pub", "lb", "uid"]
+    cols = ["scope", "fam", "inc", "pub", "lb", "uid", *more]
     by_norm = valid.select(F.concat(F.lit("n:"), F.col("norm")).alias("node"), *cols)
     by_words = valid.where(F.size("toks") > 0).select(
         F.concat(F.lit("w:"), F.array_join("toks", " ")).alias("node"), *cols
@@ -235,12 +249,12 @@ def name_nodes(p: DataFrame) -> DataFrame:
     return by_norm.unionByName(by_words)
 
 
-def node_pairs(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Both directions of the matching name pairs, and every node with itself."""
+def node_pairs(pairs: DataFrame, nodes: DataFrame, group: list[str]) -> DataFrame:
+    """Both directions of the matching name pairs of a group, and every node with itself."""
     kind = F.when(F.col("rule") == "words", "w:").otherwise("n:")
-    one = pairs.select(F.concat(kind, "a").alias("x"), F.concat(kind, "b").alias("y"))
-    two = one.select(F.col("y").alias("x"), F.col("x").alias("y"))
-    itself = nodes.select(F.col("node").alias("x"), F.col("node").alias("y"))
+    one = pairs.select(*group, F.concat(kind, "a").alias("x"), F.concat(kind, "b").alias("y"))
+    two = one.select(*group, F.col("y").alias("x"), F.col("x").alias("y"))
+    itself = nodes.select(*group, F.col("node").alias("x"), F.col("node").alias("y"))
     return one.unionByName(two).unionByName(itself).distinct()
 
 
@@ -302,7 +316,7 @@ def fuzzy_links(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
             *[F.col(d).alias(f"{d}_{tag}") for d in dates])
 
     met = (
-        side("x", "x", False).join(pairs, "x").join(side("y", "y", True), ["scope", "fam", "y", "_key"])
+        side("x", "x", False).join(pairs, ["scope", "x"]).join(side("y", "y", True), ["scope", "fam", "y", "_key"])
         .where("rep_x <> rep_y").where(dates_fit("x", "y"))
     )
     return met.select(F.least("rep_x", "rep_y").alias("a"), F.greatest("rep_x", "rep_y").alias("b")).distinct()
@@ -346,7 +360,7 @@ def merge_edges(cards: DataFrame, addresses: DataFrame, decisions: DataFrame | N
     """All edges between cards of one collected day; their components are the incidents."""
     p = profile_table(cards)
     nodes = name_nodes(p)
-    pairs = cut_lineage(node_pairs(name_pairs(p), nodes), "names")
+    pairs = cut_lineage(node_pairs(name_pairs(p, ["scope"]), nodes, ["scope"]), "names")
     groups = (
         keyed(shared_keys(cards, addresses), "share", "scope", "key")
         .unionByName(name_runs(p)).unionByName(amount_cells(p)).unionByName(release_cells(p))

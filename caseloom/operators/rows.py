@@ -44,14 +44,15 @@ def row_addresses(addresses: DataFrame, order: str = "ord") -> DataFrame:
     at = F.col(order)
     chain = tx.chain_name(F.col("chain"))
     chain = F.when(chain == "", F.col("chain")).otherwise(chain)
-    seen = addresses.withColumn("addr_key", tx.address_key(F.col("address"))).withColumn("chain_name", chain)
-    best = seen.groupBy("uid", "addr_key").agg(
-        F.min(F.struct(at.alias("at"), F.col("address"), F.col("chain_name").alias("chain"),
-                       F.coalesce("note", F.lit("")).alias("note"))).alias("f"),
-        F.min(F.struct(tx.role_rank(F.col("role")).alias("r"), "role"))["role"].alias("role"),
-        F.array_sort(F.collect_set(F.struct(at.alias("at"), F.col("chain_name").alias("chain"),
-                                            F.coalesce("note", F.lit("")).alias("note")))).alias("all"),
-    )
+    seen = addresses.select(
+        "uid", tx.address_key(F.col("address")).alias("addr_key"), F.struct(at.alias("at"), "address").alias("at"),
+        chain.alias("chain"), F.coalesce("note", F.lit("")).alias("note"), F.struct(tx.role_rank(F.col("role")).alias("r"), "role").alias("role"))
+    # one row a chain and note before any are gathered: the lists hold distinct words, not sightings
+    words = seen.groupBy("uid", "addr_key", "chain", "note").agg(F.min("at").alias("at"), F.min("role").alias("role"))
+    said = F.struct("at", "chain", "note")
+    best = words.groupBy("uid", "addr_key").agg(
+        F.min(F.struct(F.col("at.at").alias("at"), F.col("at.address").alias("address"), "chain", "note")).alias("f"),
+        F.min("role")["role"].alias("role"), F.array_sort(F.collect_list(said)).alias("all"))
     extra = F.flatten(F.transform(
         "all", lambda s: F.array(F.when(s["chain"] == F.col("f.chain"), "").otherwise(s["chain"]), s["note"])))
 
@@ -69,8 +70,8 @@ def row_addresses(addresses: DataFrame, order: str = "ord") -> DataFrame:
 def range_bounds(rows: DataFrame, days: str | int | None = "30", start: str | None = None, end: str | None = None
                  ) -> tuple[Column, Column]:
     """First and last day of a request, as scalar subqueries: the last day is the last collected one, not today."""
-    last = rows.select(F.max("day")).scalar()
-    first = rows.select(F.least(F.min("day"), F.min("event_date"))).scalar()
+    both = rows.select(F.struct(F.least(F.min("day"), F.min("event_date")).alias("first"), F.max("day").alias("last"))).scalar()
+    first, last = both["first"], both["last"]
     if start or end:
         return (F.lit(start).cast("date") if start else first), (F.lit(end).cast("date") if end else last)
     if days in (None, "", "all"):
@@ -129,22 +130,43 @@ def fold_links(rows: DataFrame) -> DataFrame:
 class Collapsed:
     """Follow-ups folded into their originals: rows, sources and addresses by root."""
 
-    def __init__(self, rows: DataFrame, sources: DataFrame, addresses: DataFrame):
-        self.roots = fold_links(rows)
-        to_root = rows.select("uid", "day").join(self.roots, "uid", "left").select(
+    def __init__(self, rows: DataFrame, sources: DataFrame, addresses: DataFrame, roots: DataFrame | None = None):
+        self.roots = fold_links(rows) if roots is None else roots
+        self._rows, self._sources, self._addresses = rows, sources, addresses
+        self._to_root = rows.select("uid", "day").join(self.roots, "uid", "left").select(
             "uid", "day", F.coalesce("root_uid", "uid").alias("root"))
-        counts = to_root.groupBy("root").agg(F.max("day").alias("last_day"), (F.count("*") - 1).alias("followup_count"))
-        self.rows = rows.join(self.roots.select("uid"), "uid", "left_anti").join(
-            counts.withColumnRenamed("root", "uid"), "uid")
-        own = F.struct((F.col("uid") != F.col("root")).alias("folded"), "day", "uid", "at")
-        self.sources = (
-            sources.withColumn("at", F.col("pos")).join(to_root, "uid").groupBy("root", "url_key")
-            .agg(F.min(F.struct(own.alias("o"), "source", "url")).alias("s"))
+        self._own = F.struct((F.col("uid") != F.col("root")).alias("folded"), "day", "uid", "at")
+
+    def rows(self) -> DataFrame:
+        counts = self._to_root.groupBy(F.col("root").alias("uid")).agg(
+            F.max("day").alias("last_day"), (F.count("*") - 1).alias("followup_count"))
+        return self._rows.join(self.roots.select("uid"), "uid", "left_anti").join(counts, "uid")
+
+    def followups(self) -> DataFrame:
+        """(uid, followup, day, project, url): the follow-ups of each original; a list of them is in the order of (day, followup)."""
+        return self._to_root.where("uid <> root").join(self._rows.select("uid", "project", "url"), "uid").select(
+            F.col("root").alias("uid"), F.col("uid").alias("followup"), "day", "project", "url")
+
+    def transactions(self) -> DataFrame:
+        """(uid, tx): the hashes an original and its follow-ups show."""
+        return self._rows.select("uid", F.explode("tx_hashes").alias("tx")).join(self._to_root, "uid").select(
+            F.col("root").alias("uid"), "tx").distinct()
+
+    def listed(self, blacklist: DataFrame) -> DataFrame:
+        """(uid, low): addresses of an original and its follow-ups that the blacklist (key) holds."""
+        return self.addresses().withColumn("key", tx.hex_key(F.col("address"))).join(blacklist.select("key"), "key", "left_semi").select("uid", "low")
+
+    def sources(self) -> DataFrame:
+        return (
+            self._sources.withColumn("at", F.col("pos")).join(self._to_root, "uid").groupBy("root", "url_key")
+            .agg(F.min(F.struct(self._own.alias("o"), "source", "url")).alias("s"))
             .select(F.col("root").alias("uid"), "url_key", "s.source", "s.url")
         )
-        self.addresses = (
-            addresses.join(to_root, "uid").groupBy("root", F.lower("address").alias("low"))
-            .agg(F.min(F.struct(own.alias("o"), "address", "chain", "note")).alias("f"),
+
+    def addresses(self) -> DataFrame:
+        return (
+            self._addresses.join(self._to_root, "uid").groupBy("root", F.lower("address").alias("low"))
+            .agg(F.min(F.struct(self._own.alias("o"), "address", "chain", "note")).alias("f"),
                  F.min(F.struct(tx.role_rank(F.col("role")).alias("r"), "role"))["role"].alias("role"))
             .select(F.col("root").alias("uid"), "low", "f.address", "f.chain", "f.note", "role",
                     F.col("f.o.at").alias("at"))

@@ -10,9 +10,10 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from caseloom.operators.analytics import money
+from caseloom.operators.ranking import numbered
 from caseloom.session import cut_lineage
 
-PARTS = 16
+PARTS = 256
 
 
 def latest_state(writes: DataFrame, key: str, order: str) -> DataFrame:
@@ -27,15 +28,37 @@ def part_of(key: str, parts: int = PARTS) -> Column:
     return F.pmod(F.xxhash64(key), F.lit(parts)).cast("int")
 
 
-def upsert(spark: SparkSession, path: str, changes: DataFrame, key: str, order: str, parts: int = PARTS) -> None:
-    """Merge changes into a table partitioned by key hash; only partitions that receive changes are rewritten."""
-    incoming = cut_lineage(changes.withColumn("part", part_of(key, parts)), "changes")
-    if _exists(spark, path):
-        touched = incoming.select("part").distinct()
-        current = spark.read.parquet(path).join(F.broadcast(touched), "part", "left_semi")  # at most `parts` rows
-        incoming = current.select(*incoming.columns).unionByName(incoming)
-    merged = cut_lineage(latest_state(incoming.drop("part"), key, order).withColumn("part", part_of(key, parts)), "merged")
-    overwrite_partitions(merged, path, "part")
+def append_changes(path: str, changes: DataFrame, key: str, batch_id: int, parts: int = PARTS) -> None:
+    """Add the changes of a batch to a state log by key hash and batch.
+
+    No file of another batch is touched; a batch that is written again replaces its own files.
+    """
+    rows = changes.withColumns({"part": part_of(key, parts), "batch": F.lit(batch_id)})
+    overwrite_partitions(rows, path, "part", "batch")
+
+
+def changes_of(spark: SparkSession, path: str, schema, keys: DataFrame | None = None, key: str = "uid", before: int | None = None,
+               parts: int = PARTS) -> DataFrame:
+    """Rows of a state log; with keys only those of the keys, read from the partitions that can hold them.
+
+    before: leave out this batch and later ones, so that a batch that runs again sees what it saw first.
+    """
+    if not _exists(spark, path):
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(f"{schema}, part int, batch int").parquet(path)
+    if before is not None:
+        rows = rows.where(F.col("batch") < before)
+    if keys is not None:
+        wanted = keys.select(key).distinct().withColumn("part", part_of(key, parts))
+        touched = wanted.select("part").distinct()  # at most `parts` rows: prunes the scan
+        rows = rows.join(F.broadcast(touched), "part", "left_semi").join(wanted.select(key), key, "left_semi")
+    return rows.drop("part", "batch")
+
+
+def compacted(spark: SparkSession, path: str, schema, key: str, order: str, to: str, parts: int = PARTS) -> None:
+    """The latest state of a log as a log of one batch under another path; `parts` can grow with the data here."""
+    state = latest_state(changes_of(spark, path, schema), key, order)
+    append_changes(to, state, key, 0, parts)
 
 
 def overwrite_partitions(df: DataFrame, path: str, *by: str) -> None:
@@ -54,6 +77,19 @@ def insert_absent(spark: SparkSession, path: str, rows: DataFrame, keys: list[st
     new.write.mode("append").parquet(path)
 
 
+def put_batch(rows: DataFrame, path: str, batch_id: int) -> None:
+    """The rows of a batch in a folder of its own; writing them again changes nothing."""
+    rows.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+
+
+def batches(spark: SparkSession, path: str, schema: str, before: int | None = None) -> DataFrame:
+    """Rows put by batches, of those before a given one."""
+    if not _exists(spark, path):
+        return spark.createDataFrame([], schema)
+    rows = spark.read.schema(f"{schema}, batch int").parquet(path)
+    return (rows if before is None else rows.where(F.col("batch") < before)).drop("batch")
+
+
 def append_log(rows: DataFrame, path: str) -> None:
     rows.write.mode("append").json(path)
 
@@ -64,19 +100,41 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def replace_cards(spark: SparkSession, path: str, cards: DataFrame, addresses: DataFrame) -> None:
-    """Replace cards by collected day and rebuild their address rows.
+    """Store cards and their address rows by collected day; a card stored before is replaced, on whichever day it was.
 
-    first_seen of an address survives the replacement: rewriting a card is no new sighting.
+    The other cards of a day stay. first_seen of an address survives the replacement: rewriting a card is no new
+    sighting. A day is written with one row without uid, so that a day left without cards or addresses is empty, not old.
     """
-    target = f"{path}/addresses"
+    cards = cut_lineage(cards, "cards")
     fresh = addresses.join(cards.select("uid", "coll_day"), "uid")
-    if _exists(spark, target):
-        seen = spark.read.parquet(target).select("uid", "chain", "address", F.col("first_seen").alias("seen"))
-        fresh = fresh.join(seen, ["uid", "chain", "address"], "left").withColumn(
-            "first_seen", F.least("first_seen", "seen")).drop("seen")
-    fresh = cut_lineage(fresh, "addresses")
-    overwrite_partitions(cards, f"{path}/cards", "coll_day")
-    overwrite_partitions(fresh, target, "coll_day")
+    days = cards.select("coll_day").distinct()
+    if _exists(spark, f"{path}/cards"):
+        stored, held = stored_cards(spark, path), stored_addresses(spark, path)
+        moved = stored.select("uid", "coll_day").join(cards.select("uid"), "uid", "left_semi").select("coll_day")
+        days = cut_lineage(days.union(moved).distinct(), "days")
+        here = held.join(days, "coll_day", "left_semi")
+        seen = here.join(cards.select("uid"), "uid", "left_semi").groupBy("uid", "chain", "address").agg(F.min("first_seen").alias("seen"))
+        fresh = fresh.join(seen, ["uid", "chain", "address"], "left").withColumn("first_seen", F.least("first_seen", "seen")).drop("seen")
+        rest = here.join(cards.select("uid"), "uid", "left_anti")
+        fresh = fresh.unionByName(rest.select(*fresh.columns))
+        others = stored.join(days, "coll_day", "left_semi").join(cards.select("uid"), "uid", "left_anti")
+        cards = cards.unionByName(others.select(*cards.columns))
+    written = [cut_lineage(rows.unionByName(_marks(days, rows, "coll_day")), name) for name, rows in (("cards", cards), ("addresses", fresh))]
+    overwrite_partitions(written[0], f"{path}/cards", "coll_day")
+    overwrite_partitions(written[1], f"{path}/addresses", "coll_day")
+
+
+def _marks(days: DataFrame, rows: DataFrame, by: str) -> DataFrame:
+    """One row of nulls a day, in the columns of rows."""
+    return days.select(*[F.col(by) if f.name == by else F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema.fields])
+
+
+def stored_cards(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/cards").where("uid is not null")
+
+
+def stored_addresses(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(f"{path}/addresses").where("uid is not null")
 
 
 def write_jsonl(cards: DataFrame, path: str) -> None:
@@ -90,8 +148,9 @@ def write_csv(rows: DataFrame, path: str, *order: Column) -> None:
     df.write.option("header", True).option("escape", '"').csv(path)
 
 
-def write_archive(rows: DataFrame, addresses: DataFrame, path: str, recent_days: int = 90) -> None:
-    """The published snapshot: rows per month, recent rows, a slim table of all rows, and address rows."""
+def write_archive(rows: DataFrame, addresses: DataFrame, path: str, recent_days: int = 90, briefings: DataFrame | None = None,
+                  meta: DataFrame | None = None) -> None:
+    """The published snapshot: rows per month, recent rows, a slim table of all rows, address rows, briefings and totals."""
     dated = rows.withColumn("month", F.date_format("day", "yyyy-MM"))
     dated.repartition("month", F.pmod(F.xxhash64("uid"), F.lit(8))).write.partitionBy("month").json(f"{path}/archive")
     last = rows.select(F.max("day")).scalar()
@@ -100,6 +159,9 @@ def write_archive(rows: DataFrame, addresses: DataFrame, path: str, recent_days:
                         "amount_text", "source", "followup_uid", "month")
     slim.write.json(f"{path}/all")
     addresses.join(rows.select("uid", "project", "type", "day", "event_date"), "uid").write.json(f"{path}/addresses")
+    for name, table in (("briefings", briefings), ("meta", meta)):
+        if table is not None:
+            table.write.json(f"{path}/{name}")
 
 
 def write_state(tables: dict[str, DataFrame], path: str) -> None:
@@ -112,14 +174,16 @@ def report_rows(cards: DataFrame, addresses: DataFrame, merged: DataFrame, seen:
     """Summary rows of the daily report. merged: (uid, n_merged); seen: (uid, n_seen) addresses known before."""
     n = addresses.groupBy("uid").agg(F.count("*").alias("n_addresses"))
     j = cards.where("relevant").join(n, "uid", "left").join(merged, "uid", "left").join(seen, "uid", "left")
-    w = Window.partitionBy("coll_day").orderBy(
-        F.desc_nulls_last(F.coalesce("incident_date", "published_at")), F.desc_nulls_last("published_at"), "uid")
+    low = F.lit(-10_000_000)
+    j = numbered(j.withColumns({
+        "_1": -F.coalesce(F.unix_date(F.coalesce("incident_date", "published_at")), low),
+        "_2": -F.coalesce(F.unix_date("published_at"), low)}), ["coll_day"], ["_1", "_2", "uid"], "number")
     name = F.when(F.coalesce("project", F.lit("")) != "", F.col("project")).otherwise(F.col("title"))
     amount = F.coalesce(money(F.col("amount_usd")), F.when(F.col("amount_text") != "", F.col("amount_text")),
                         F.lit("unknown"))
     extra = F.when(F.coalesce("n_merged", F.lit(0)) > 0, F.concat(F.lit(" +"), F.col("n_merged").cast("string"))).otherwise("")
     return j.select(
-        F.col("coll_day").alias("day"), F.row_number().over(w).cast("bigint").alias("number"), "uid", name.alias("name"),
+        F.col("coll_day").alias("day"), "number", "uid", name.alias("name"),
         F.col("incident_type").alias("type"), "incident_date", F.array_join("chains", ", ").alias("chains"),
         amount.alias("amount"), F.coalesce("n_addresses", F.lit(0)).alias("n_addresses"),
         F.concat("source", extra).alias("source"), F.coalesce("n_seen", F.lit(0)).alias("n_seen"))

@@ -123,9 +123,10 @@ CARD_ADDRESSES = [
     ],
 ]
 
+#: Lists hold an address for every part; most are spelled from a number that no card uses, so that they match nothing.
 BLACKLIST = [
     [
-        "concat('0x', " + HEX40.format(p="p_partkey") + ") as address",
+        "concat('0x', " + HEX40.format(p="(case when p_size % 7 = 0 then p_partkey else -p_partkey end)") + ") as address",
         "case when p_partkey % 3 = 0 then concat(p_brand, '|', p_type) else p_brand end as sources",
         "case when p_partkey % 2 = 0 then concat(p_type, '|scam') else p_type end as categories",
         "concat(p_name, '|', p_type) as labels",
@@ -137,7 +138,7 @@ BLACKLIST = [
 SDN = [
     [
         "case when p_partkey % 3 = 0 then 'TRX' else 'ETH' end as chain",
-        "concat('0x', " + HEX40.format(p="p_partkey") + ") as address",
+        "concat('0x', " + HEX40.format(p="(case when p_partkey % 40 = 0 then p_partkey else -p_partkey end)") + ") as address",
         "cast(p_partkey as $STR) as entity_uid",
         "upper(p_name) as entity_name",
         "concat(p_brand, ',', p_type) as programs",
@@ -211,9 +212,9 @@ RAW_EVENTS = [
 
 TABLES: dict[str, tuple[str, list[list[str]], str | None]] = {
     "cards": ("orders", CARDS, None),
-    "card_addresses": ("lineitem", CARD_ADDRESSES, "ln <= 3"),
-    "blacklist_rows": ("part", BLACKLIST, "z % 7 = 0"),
-    "sdn_snapshot": ("part", SDN, "p % 40 = 0"),
+    "card_addresses": ("lineitem", CARD_ADDRESSES, None),
+    "blacklist_rows": ("part", BLACKLIST, None),
+    "sdn_snapshot": ("part", SDN, None),
     "address_labels": ("part", LABELS, None),
     "probe_base": ("part", PROBES, None),
     "articles": ("documents", ARTICLES, None),

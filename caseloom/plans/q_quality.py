@@ -66,12 +66,15 @@ def shaped_cte(name: str, source: str, exprs: list[str]) -> None:
 shaped_cte("patches", "cards", PATCHES)
 shaped_cte("verdicts", "cards", VERDICTS)
 shaped_cte("findings", "cards", FINDINGS)
-cte("card_texts", f"select c.uid, {duck_text(TEXT)} as text from cards c join articles a on a.d = c.k")
+cte("card_texts", f"""
+  select c.uid, {duck_text(TEXT)} as text from cards c join articles a on a.d = c.k % (select max(d) + 1 from articles)""")
 
 
 def card_texts(spark: SparkSession, sf: str) -> DataFrame:
+    """Every card has a text: the documents are dealt to the cards in turn."""
     c, a = load(spark, sf, "cards").alias("c"), load(spark, sf, "articles").alias("a")
-    return c.join(a, F.col("a.d") == F.col("c.k")).select("c.uid", F.expr(spark_text(TEXT)).alias("text"))
+    n = load(spark, sf, "articles").select(F.max("d") + 1).scalar()
+    return c.withColumn("turn", F.col("k") % n).join(a, F.col("a.d") == F.col("turn")).select("c.uid", F.expr(spark_text(TEXT)).alias("text"))
 
 
 WIDE = "(?i)(?:US\\$|\\$|USD\\s?)\\s?" + NUM + "\\s*(billion|million|thousand|bn|mn|[bmk])?\\b"

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseloom import fixed
@@ -14,13 +14,15 @@ from caseloom.plans.registry import cte, query
 
 
 def decisions(spark: SparkSession, sf: str) -> DataFrame:
-    """Verdicts on pairs of neighbouring cards, some inside a collected day and some across days."""
-    cards = load(spark, sf, "cards").select("k", "e", "uid", "coll_day")
-    inside = Window.partitionBy("coll_day").orderBy("k")
-    across = Window.partitionBy(F.col("e") % 40).orderBy("coll_day", "k")
-    pairs = cards.withColumn("other", F.lead("uid").over(inside)).unionByName(
-        cards.withColumn("other", F.lead("uid").over(across)))
-    return pairs.where("other is not null and k % 2 = 0").select(
+    """Verdicts on each card and the first one of its entity group on its day, and of its entity on any day."""
+    cards = load(spark, sf, "cards").selectExpr("k", "e", "e % 40 as g", "uid", "coll_day")
+
+    def with_first(*keys: str) -> DataFrame:
+        first = cards.groupBy(*keys).agg(F.min_by("uid", "k").alias("other"))
+        return cards.join(first, list(keys)).select("k", "uid", "other")
+
+    pairs = with_first("coll_day", "g").unionByName(with_first("e"))
+    return pairs.where("other <> uid").select(
         F.when(F.col("k") % 4 == 0, F.col("uid")).otherwise(F.col("other")).alias("uid_a"),
         F.when(F.col("k") % 4 == 0, F.col("other")).otherwise(F.col("uid")).alias("uid_b"),
         (F.col("k") % 3 != 0).alias("same"), ((F.col("k") % 6) / 10 + 0.5).alias("confidence"),
@@ -31,10 +33,10 @@ def decisions(spark: SparkSession, sf: str) -> DataFrame:
 cte("decisions", """
   select case when k % 4 = 0 then uid else other end as uid_a, case when k % 4 = 0 then other else uid end as uid_b,
     k % 3 <> 0 as same, (k % 6) / 10.0 + 0.5 as confidence, k as decided_at
-  from (select k, uid, lead(uid) over (partition by coll_day order by k) as other from cards
+  from (select k, uid, first_value(uid) over (partition by coll_day, e % 40 order by k) as other from cards
         union all
-        select k, uid, lead(uid) over (partition by e % 40 order by coll_day, k) as other from cards)
-  where other is not null and k % 2 = 0""")
+        select k, uid, first_value(uid) over (partition by e order by k) as other from cards)
+  where other <> uid""")
 cte("accepted_pairs", """
   select a as uid_a, b as uid_b, arg_max(yes, row(decided_at, yes)) as same
   from (select least(uid_a, uid_b) as a, greatest(uid_a, uid_b) as b, same and confidence >= 0.8 as yes, decided_at
@@ -114,7 +116,7 @@ cte("gold_actors", """
     where value <> '' group by cid, lower(value)) group by cid""")
 cte("gold_sets", """
   select cid, list_sort(list_distinct(flatten(list(tags)))) as tags,
-    list_sort(list_distinct(flatten(list(tx_hashes))))[1:30] as tx_hashes from memb group by cid""")
+    list_sort(list_distinct(flatten(list(tx_hashes)))) as tx_hashes from memb group by cid""")
 cte("gold", """
   select m.cid, m.uid, m.source, m.source_id, m.url, m.title, m.published_at, m.coll_day, m.incident_type, m.project,
     coalesce(m.incident_date, x.min_date) as incident_date,
@@ -199,7 +201,8 @@ class Resolved:
 
     def followed(self):
         m, g, a = self.build()
-        links = follow.followup_links(g, a, self.decisions)
+        tx_rows = golden.golden_tx(m).join(g.select("cid", "uid"), "cid")
+        links = follow.followup_links(g, a, self.decisions, tx_rows)
         return m, g, a, links
 
 
@@ -243,23 +246,24 @@ def jn_name_exact(spark, sf):
     return name.unionByName(amount.select(F.lit("amount").alias("rule"), "a", "b")).distinct().toDF("rule", "uid_a", "uid_b")
 
 
-cte("norms", f"select distinct norm, grams, len(grams) as ng from prof where norm not in {duck.words(fixed.GENERIC_NAMES)}")
+cte("norms", f"select distinct scope, norm, grams, len(grams) as ng from prof where norm not in {duck.words(fixed.GENERIC_NAMES)}")
 cte("wordsets", f"""
-  select distinct array_to_string(toks, ' ') as ts, toks from prof
+  select distinct scope, array_to_string(toks, ' ') as ts, toks from prof
   where norm not in {duck.words(fixed.GENERIC_NAMES)} and len(toks) > 0""")
 
 
 @query("jn_name_fuzzy", f"""
-  select 'prefix' as rule, a.norm as name_a, b.norm as name_b from norms a join norms b
-    on length(a.norm) >= 4 and length(a.norm) < length(b.norm) and starts_with(b.norm, a.norm)
+  select cast(a.scope as varchar) as scope, 'prefix' as rule, a.norm as name_a, b.norm as name_b from norms a join norms b
+    on a.scope = b.scope and length(a.norm) >= 4 and length(a.norm) < length(b.norm) and starts_with(b.norm, a.norm)
   union all
-  select 'trigram', a.norm, b.norm from norms a join norms b on a.norm < b.norm
+  select cast(a.scope as varchar), 'trigram', a.norm, b.norm from norms a join norms b on a.scope = b.scope and a.norm < b.norm
     and a.ng >= 0.6 * b.ng and b.ng >= 0.6 * a.ng and {duck.jaccard('a.grams', 'b.grams')} >= 0.6
   union all
-  select 'words', a.ts, b.ts from wordsets a join wordsets b on len(a.toks) < len(b.toks)
+  select cast(a.scope as varchar), 'words', a.ts, b.ts from wordsets a join wordsets b on a.scope = b.scope and len(a.toks) < len(b.toks)
     and len(list_intersect(a.toks, b.toks)) = len(a.toks)""")
 def jn_name_fuzzy(spark, sf):
-    return resolve.name_pairs(resolve.profile_table(load(spark, sf, "cards"))).toDF("rule", "name_a", "name_b")
+    pairs = resolve.name_pairs(resolve.profile_table(load(spark, sf, "cards")), ["scope"])
+    return pairs.withColumn("scope", F.col("scope").cast("string")).toDF("scope", "rule", "name_a", "name_b")
 
 
 cte("release_cells", """
@@ -302,11 +306,10 @@ def agg_components(spark, sf):
     return Resolved(spark, sf).comp()
 
 
-@query("win_representative", "select cid, uid, cast(rk as bigint) as position from memb")
+@query("win_representative", """
+  select cid, any_value(uid) filter (rk = 1) as uid, count(*) as n_members from memb group by cid""")
 def win_representative(spark, sf):
-    m = Resolved(spark, sf).members()
-    return m.select("cid", "uid", F.row_number().over(Window.partitionBy("cid").orderBy("rank")).cast("bigint")
-                    .alias("position"))
+    return golden.representative(Resolved(spark, sf).members())
 
 
 GOLD_COLS = """uid, source, project, title, incident_type, strftime(incident_date, '%Y-%m-%d') as incident_date,

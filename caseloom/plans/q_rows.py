@@ -15,7 +15,7 @@ from caseloom.operators import matching, rows as rw
 from caseloom.plans import duck
 from caseloom.plans.fixture import load
 from caseloom.plans.registry import cte, query
-from caseloom.session import cut_lineage
+from caseloom.session import kept_table
 
 LEGAL = duck.words(fixed.LEGAL_TYPES)
 
@@ -39,7 +39,8 @@ def flat(df: DataFrame) -> DataFrame:
 
 
 def rows(spark: SparkSession, sf: str) -> DataFrame:
-    return rw.incident_rows(load(spark, sf, "cards").where("relevant"))
+    """Incident rows are a written table in use, so they are written once a session."""
+    return kept_table(spark, sf, "rows", lambda: rw.incident_rows(load(spark, sf, "cards").where("relevant")))
 
 
 def sources(spark: SparkSession, sf: str) -> DataFrame:
@@ -52,17 +53,43 @@ def sources(spark: SparkSession, sf: str) -> DataFrame:
     again = F.when(k % 6 == 0, report(2, F.lit("rss:c"), F.concat("url", F.lit("?again"))))
     reports = F.array_compact(F.array(report(0, F.col("source"), F.col("url")), feed, again))
     cards = load(spark, sf, "cards").where("relevant")
-    return rw.row_sources(cards.select("uid", F.explode(reports).alias("r")).select("uid", "r.*"))
+    return kept_table(spark, sf, "sources", lambda: rw.row_sources(cards.select("uid", F.explode(reports).alias("r")).select("uid", "r.*")))
 
 
 def addresses(spark: SparkSession, sf: str) -> DataFrame:
     live = load(spark, sf, "cards").where("relevant").select("uid")
-    return rw.row_addresses(load(spark, sf, "card_addresses").join(live, "uid", "left_semi"))
+    return kept_table(spark, sf, "addresses", lambda: rw.row_addresses(load(spark, sf, "card_addresses").join(live, "uid", "left_semi")))
 
 
-def collapsed(spark: SparkSession, sf: str) -> rw.Collapsed:
-    """Incident rows are a written table in use; here they are written first, then folded."""
-    return rw.Collapsed(cut_lineage(rows(spark, sf), "rows"), sources(spark, sf), addresses(spark, sf))
+class Folded:
+    """The folded rows, sources and addresses, each written once a session and only when a query asks for it."""
+
+    def __init__(self, spark: SparkSession, sf: str):
+        self.spark, self.sf = spark, sf
+
+    def _made(self) -> rw.Collapsed:
+        roots = kept_table(self.spark, self.sf, "roots", lambda: rw.fold_links(rows(self.spark, self.sf)))
+        return rw.Collapsed(rows(self.spark, self.sf), sources(self.spark, self.sf), addresses(self.spark, self.sf), roots)
+
+    @property
+    def roots(self) -> DataFrame:
+        return self._made().roots
+
+    @property
+    def rows(self) -> DataFrame:
+        return kept_table(self.spark, self.sf, "folded_rows", lambda: self._made().rows())
+
+    @property
+    def sources(self) -> DataFrame:
+        return kept_table(self.spark, self.sf, "folded_sources", lambda: self._made().sources())
+
+    @property
+    def addresses(self) -> DataFrame:
+        return kept_table(self.spark, self.sf, "folded_addresses", lambda: self._made().addresses())
+
+
+def collapsed(spark: SparkSession, sf: str) -> Folded:
+    return Folded(spark, sf)
 
 
 def blacklist(spark: SparkSession, sf: str) -> DataFrame:
@@ -280,24 +307,72 @@ cte("alist", f"""
     from caddr a join crow r on r.uid = a.uid) group by low""")
 
 
+cte("alabels", "select address as low, kind, ctype, label, tx_count from address_labels where p % 3 <> 0")
+
+
+def labels_by_address(spark: SparkSession, sf: str) -> DataFrame:
+    return load(spark, sf, "address_labels").where("p % 3 <> 0").select(F.col("address").alias("low"), "kind", "ctype", "label", "tx_count")
+
+
 @query("agg_address_list", """
-  select low, address, chain, note, project, role, cast(last_day as varchar) as last_day, incidents from alist""")
+  select a.low, a.address, a.chain, a.note, a.project, a.role, cast(a.last_day as varchar) as last_day, a.incidents,
+    coalesce(l.kind, 'unchecked') as kind, l.ctype, l.label, l.tx_count from alist a left join alabels l on l.low = a.low""")
 def agg_address_list(spark, sf):
     c = collapsed(spark, sf)
-    return flat(an.address_list(c.rows, c.addresses))
-
-
-@query("agg_collapse_followups", """
-  select r.uid, cast(r.day as varchar) as day, cast(r.last_day as varchar) as last_day,
-    cast(r.followup_count as bigint) as followup_count,
-    (select count(*) from csrc s where s.uid = r.uid) as n_sources,
-    (select count(*) from caddr a where a.uid = r.uid) as n_addresses from crow r""")
+    return flat(an.address_list(c.rows, c.addresses, labels=labels_by_address(spark, sf)))
+
+
+cte("alist_picked", f"""
+  select x.*, coalesce(l.kind, 'unchecked') as kind from (
+    select low, arg_min(chain, o) as chain, arg_min(role, {duck.role_rank('role')}) as role from (
+      select a.*, row(-datediff('day', date '0001-01-01', r.day),
+        -datediff('day', date '0001-01-01', coalesce(r.incident_date, date '0001-01-01')), r.uid, a.apos) as o
+      from caddr a join crow r on r.uid = a.uid where a.role = 'attacker' and lower(a.chain) = 'ethereum'
+        and (contains(a.low, 'dao') or contains(lower(r.project), 'dao')))
+    group by low) x left join alabels l on l.low = x.low where coalesce(l.kind, 'unchecked') = 'contract'""")
+
+
+@query("agg_address_counts", """
+  select 'list' as facet, c.facet as kind, c.value, c.n from (
+    select 'role' as facet, role as value, count(*) as n from alist group by role
+    union all select 'chain', chain, count(*) from alist group by chain
+    union all select 'kind', coalesce(l.kind, 'unchecked'), count(*) from alist a left join alabels l on l.low = a.low group by 2) c
+  union all
+  select 'picked', c.facet, c.value, c.n from (
+    select 'role' as facet, role as value, count(*) as n from alist_picked group by role
+    union all select 'chain', chain, count(*) from alist_picked group by chain
+    union all select 'kind', kind, count(*) from alist_picked group by kind) c""")
+def agg_address_counts(spark, sf):
+    """Counts by role, chain and kind: of all addresses, and of those that pass every filter."""
+    c, labels = collapsed(spark, sf), labels_by_address(spark, sf)
+    whole = an.address_list(c.rows, c.addresses, labels=labels)
+    picked = an.address_list(c.rows, c.addresses, role="attacker", chain="eth", q="DAO", kind="contract", labels=labels)
+    both = [an.address_counts(d).select(F.lit(n).alias("facet"), F.col("facet").alias("kind"), "value", "n") for n, d in (("list", whole), ("picked", picked))]
+    return both[0].unionByName(both[1])
+
+
+@query("agg_collapse_followups", f"""
+  select uid, 'row' as part, concat_ws('|', day, last_day, followup_count) as value from crow
+  union all select m.root, 'followup', concat_ws('|', m.day, m.uid, r.project, r.url) from fmap m join rws r on r.uid = m.uid where m.uid <> m.root
+  union all select uid, 'source', concat_ws('|', source, url_key) from csrc
+  union all select uid, 'address', concat_ws('|', low, role) from caddr
+  union all select distinct root, 'tx', t from (select m.root, unnest(r.tx_hashes) as t from fmap m join rws r on r.uid = m.uid)
+  union all select uid, 'listed', low from caddr where {duck.hex_key('address')} in (select address from blacklist_rows)""")
 def agg_collapse_followups(spark, sf):
+    """Each original with its follow-ups, sources, addresses, hashes and listed addresses, one row each."""
     c = collapsed(spark, sf)
-    ns = c.sources.groupBy("uid").agg(F.count("*").alias("n_sources"))
-    na = c.addresses.groupBy("uid").agg(F.count("*").alias("n_addresses"))
-    out = c.rows.select("uid", "day", "last_day", "followup_count").join(ns, "uid", "left").join(na, "uid", "left")
-    return flat(out.fillna(0, ["n_sources", "n_addresses"]))
+    folded = c._made()
+
+    def part(df: DataFrame, name: str, *cols) -> DataFrame:
+        return df.select("uid", F.lit(name).alias("part"), F.concat_ws("|", *[F.col(x).cast("string") for x in cols]).alias("value"))
+
+    parts = [part(c.rows, "row", "day", "last_day", "followup_count"), part(folded.followups(), "followup", "day", "followup", "project", "url"),
+             part(c.sources, "source", "source", "url_key"), part(c.addresses, "address", "low", "role"),
+             part(folded.transactions(), "tx", "tx"), part(folded.listed(blacklist(spark, sf)), "listed", "low")]
+    out = parts[0]
+    for one in parts[1:]:
+        out = out.unionByName(one)
+    return out
 
 
 @query("agg_dedupe_addresses", dedupe_sql(
@@ -315,9 +390,19 @@ def agg_dedupe_addresses(spark, sf):
     cast(min(event_date) as varchar) as first_event_day, count(*) as rows_total,
     count(*) filter (followup_uid is null) as new_total,
     (select count(distinct lower(address)) from raddr) as addresses_total,
-    (select count(distinct source) from srcs) as sources_total from rws""")
+    (select count(distinct source) from srcs) as sources_total,
+    (select cast(max(coll_day) as varchar) from cards) as last_run,
+    (select count(*) from cards where coll_day = (select max(coll_day) from cards)) as last_collected,
+    (select count(*) from cards where relevant and coll_day = (select max(coll_day) from cards)) as last_relevant from rws""")
 def agg_meta(spark, sf):
-    return flat(an.meta(rows(spark, sf), addresses(spark, sf), sources(spark, sf)))
+    return flat(an.meta(rows(spark, sf), addresses(spark, sf), sources(spark, sf), load(spark, sf, "cards")))
+
+
+@query("agg_source_runs", """
+  select source, cast(max(coll_day) as varchar) as last_day, arg_max(n, coll_day) as last_count, cast(sum(n) as bigint) as total
+  from (select source, coll_day, count(*) as n from cards group by all) group by source""")
+def agg_source_runs(spark, sf):
+    return flat(an.source_runs(load(spark, sf, "cards")))
 
 
 KNOWN_SOURCES = fixed.SOURCE_PRIORITY + ["rss:a", "other", "silent"]
@@ -331,22 +416,50 @@ def agg_source_report(spark, sf):
     return flat(an.source_report(load(spark, sf, "cards"), known))
 
 
-@query("agg_briefing", f"""
-  select cast(day as varchar) as day, count(*) filter (new) as new, count(*) filter (not new) as followups,
+def money_sql(v: str) -> str:
+    """The short form of an amount, as analytics.money writes it."""
+    def short(x: str, digits: int) -> str:
+        return f"regexp_replace(cast(cast(round({x}, {digits}) as decimal(20, {digits})) as varchar), '\\.?0+$', '')"
+
+    return (f"case when {v} >= 1e9 then concat('$', {short(f'{v} / 1e9', 2)}, 'B') when {v} >= 1e6 then concat('$', {short(f'{v} / 1e6', 1)}, 'M') "
+            f"when {v} >= 1e3 then concat('$', format('{{:,}}', cast(round({v} / 1e3) as bigint)), 'K') "
+            f"when {v} is not null then concat('$', format('{{:,}}', cast(round({v}) as bigint))) end")
+
+
+cte("briefed", f"""
+  select day, count(*) filter (new) as new, count(*) filter (not new) as followups,
     count(*) filter (new and major) as major, count(*) filter (new and not major) as minor,
-    round(coalesce(sum(amount_usd) filter (new and not legal), 0), 2) as loss,
-    round(coalesce(sum(amount_usd) filter (new and legal), 0), 2) as legal
+    coalesce(sum(amount_usd) filter (new and not legal), 0) as loss, coalesce(sum(amount_usd) filter (new and legal), 0) as legal
   from (select *, followup_uid is null as new, coalesce(amount_usd, 0) >= 100000 or (legal and coalesce(amount_usd, 0) <> 0)
     as major from rws) group by day""")
+cte("headed", f"""
+  select *, concat_ws(' · ', concat(strftime(day, '%Y-%m-%d'), ' briefing'), concat(new, ' new'),
+    case when loss <> 0 then concat('loss ', {money_sql('loss')}) end, case when legal <> 0 then concat('enforcement ', {money_sql('legal')}) end,
+    case when followups <> 0 then concat(followups, ' follow-ups') end) as headline from briefed""")
+cte("bullets", f"""
+  select day, uid, section, line, row_number() over (partition by day, section order by amount desc, uid) as position from (
+    select *, case when followup_uid is not null then 3 when amount >= 100000 or (legal and amount <> 0) then 1 else 2 end as section,
+      concat_ws(' · ', project, case when not legal then coalesce(chains[1], 'chain n/a') end, type, coalesce({money_sql('amount_usd')},
+        case when amount_text <> '' then amount_text end, 'amount n/a'), strftime(event_date, '%Y-%m-%d')) as line
+    from (select *, coalesce(amount_usd, 0) as amount from rws))""")
+
+
+@query("agg_briefing", """
+  select cast(day as varchar) as day, new, followups, major, minor, round(loss, 2) as loss, round(legal, 2) as legal, headline from headed""")
 def agg_briefing(spark, sf):
-    return flat(an.briefing(rows(spark, sf)).drop("headline"))
+    return flat(an.briefing(rows(spark, sf)))
+
+
+@query("agg_briefing_bullets", "select cast(day as varchar) as day, uid, cast(section as bigint) as section, line, position from bullets")
+def agg_briefing_bullets(spark, sf):
+    return flat(an.briefing_lines(rows(spark, sf)))
 
 
 @query("agg_briefing_index", """
-  select strftime(coll_day, '%Y-%m') as month, cast(coll_day as varchar) as day,
-    count(*) filter (relevant) as relevant, count(*) as total from cards group by all""")
+  select strftime(c.day, '%Y-%m') as month, cast(c.day as varchar) as day, relevant, total, headline from (
+    select coll_day as day, count(*) filter (relevant) as relevant, count(*) as total from cards group by all) c left join headed h on h.day = c.day""")
 def agg_briefing_index(spark, sf):
-    return flat(an.briefing_index(load(spark, sf, "cards")))
+    return flat(an.briefing_index(load(spark, sf, "cards"), rows(spark, sf)))
 
 
 @query("agg_backfill_years", """
@@ -480,7 +593,10 @@ NEEDLE = "0x" + (hashlib.md5(b"p0").hexdigest() + hashlib.md5(b"q0").hexdigest()
     where contains(lower(address), '{NEEDLE}') order by chain, address limit 50)
   union all select 'blacklist', address, array_to_string(list_sort(list_distinct(flatten(list(
     string_split(sources, '|'))))), '|'), array_to_string(list_sort(list_distinct(flatten(list(
-    string_split(labels, '|'))))), '|') from blacklist_rows where address = '{NEEDLE}' group by address""")
+    string_split(labels, '|'))))), '|') from blacklist_rows where address = '{NEEDLE}' group by address
+  union all select 'found', '{NEEDLE}', cast(exists (select 1 from caddr a join crow r on r.uid = a.uid where contains(low, '{NEEDLE}'))
+    or exists (select 1 from sdn_snapshot where contains(lower(address), '{NEEDLE}'))
+    or exists (select 1 from blacklist_rows where address = '{NEEDLE}') as varchar), ''""")
 def top_lookup(spark, sf):
     c = collapsed(spark, sf)
     return an.lookup(c.rows, c.addresses, load(spark, sf, "sdn_snapshot"), blacklist(spark, sf), NEEDLE.upper().replace(
@@ -506,12 +622,16 @@ def top_detail(spark, sf):
     return flat(rw.light(an.detail(c.rows, c.roots, wanted)))
 
 
+LAST_DAY = "(select max(day) from rws)"
+
+
 @query("top_briefing_day", f"""
-  select {ROW_COLS} from rws where day = (select max(day) from rws)""")
+  select cast(day as varchar) as day, 0 as section, 1 as position, null as uid, headline as line from headed where day = {LAST_DAY}
+  union all select cast(day as varchar), section, position, uid, line from bullets where day = {LAST_DAY}
+  union all select cast(day as varchar), 9, null, uid, title from rws where day = {LAST_DAY}""")
 def top_briefing_day(spark, sf):
-    """Rows of the latest briefing, follow-ups included."""
-    r = rows(spark, sf)
-    return flat(rw.light(r.where(F.col("day") == r.select(F.max("day")).scalar())))
+    """The latest briefing with its rows, follow-ups included."""
+    return flat(an.briefing_of(rows(spark, sf)))
 
 
 cte("rnorm", f"""

@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 from caseloom import fixed
 from caseloom.functions import text as tx
-from caseloom.operators import matching, tables
+from caseloom.operators import analytics as an
+from caseloom.operators import matching, resolve, tables
 from caseloom.plans import duck
 from caseloom.plans.fixture import load, read
 from caseloom.plans.q_quality import CATEGORY, OUT_CHAIN
+from caseloom.plans.q_resolve import decisions
 from caseloom.plans.q_rows import addresses as row_addresses
-from caseloom.plans.q_rows import blacklist, flat
+from caseloom.plans.q_rows import blacklist, flat, money_sql, sources
 from caseloom.plans.q_rows import rows as incident_rows
 from caseloom.plans.registry import cte, query
 from caseloom.session import scratch_path
@@ -50,18 +52,18 @@ cte("drops", "select concat('0x', md5(concat_ws('-', user_id, event_type))) as v
 
 
 @query("jn_snapshot_new", """
-  select distinct value from drops where d = date '2024-01-03' and value not in
-    (select value from drops where d between date '2024-01-01' and date '2024-01-02')""")
+  select distinct value from drops where value not in (select value from drops where d <= date '2024-01-04')""")
 def jn_snapshot_new(spark, sf):
-    known = list_drop(spark, sf, "2024-01-01", "2024-01-02").distinct()
-    return matching.added(list_drop(spark, sf, "2024-01-03", "2024-01-03"), known, ["value"])
+    """The whole list against the snapshot of its first days."""
+    known = list_drop(spark, sf, "1900-01-01", "2024-01-04").distinct()
+    return matching.added(list_drop(spark, sf, "1900-01-01", "2999-12-31"), known, ["value"])
 
 
 @query("set_diff_snapshot", """
-  select value from drops where d >= date '2024-01-16' except select value from drops where d <= date '2024-01-02'""")
+  select value from drops where d > date '2024-01-02' except select value from drops where d <= date '2024-01-02'""")
 def set_diff_snapshot(spark, sf):
-    return list_drop(spark, sf, "2024-01-16", "2024-12-31").distinct().join(
-        list_drop(spark, sf, "2024-01-01", "2024-01-02"), "value", "left_anti")
+    return list_drop(spark, sf, "2024-01-03", "2999-12-31").distinct().join(
+        list_drop(spark, sf, "1900-01-01", "2024-01-02"), "value", "left_anti")
 
 
 @query("set_union_sources", """
@@ -125,6 +127,20 @@ def jn_known_address(spark, sf):
                                          load(spark, sf, "sdn_snapshot")))
 
 
+cte("own_hits", f"""
+  select lower(a.address) as low, a.uid, min(c.project) as detail, arg_min(a.role, {duck.role_rank('a.role')}) as role
+  from card_addresses a join cards c on c.uid = a.uid group by 1, 2""")
+cte("list_hits", "select distinct lower(address) as low, entity_uid as ref, entity_name as detail from sdn_snapshot")
+
+
+@query("jn_known_address_hits", """
+  select low as address, 'card' as kind, uid as ref, detail, role from own_hits
+  where low in (select low from own_hits group by low having count(*) > 1) or low in (select low from list_hits)
+  union all select low, 'sanction', ref, detail, 'sanctioned' from list_hits where low in (select low from own_hits)""")
+def jn_known_address_hits(spark, sf):
+    return matching.known_address_hits(load(spark, sf, "cards"), load(spark, sf, "card_addresses"), load(spark, sf, "sdn_snapshot"))
+
+
 @query("jn_labels", f"""
   select a.uid, a.ord, a.address, coalesce(l.kind, '') as kind, coalesce(l.ctype, '') as ctype,
     coalesce(l.label, '') as label, l.tx_count, cast(coalesce(l.scam, false) as bigint) as scam,
@@ -190,35 +206,36 @@ def win_latest_state(spark, sf):
 
 @query("snk_upsert_items", LATEST)
 def snk_upsert_items(spark, sf):
-    """Three batches of writes, the last one delivered twice."""
-    path, w = scratch_path(spark, "items"), writes(spark, sf)
-    for batch in (w.where("written % 3 = 0"), w.where("written % 3 = 1"), w.where("written % 3 = 2"),
-                  w.where("written % 3 = 2")):
-        tables.upsert(spark, path, batch, "uid", "written")
-    return flat(spark.read.parquet(path).drop("part"))
+    """Three batches of writes, the last one delivered twice; the log is then compacted."""
+    path, small, w = scratch_path(spark, "items"), scratch_path(spark, "compacted"), writes(spark, sf)
+    for n in (0, 1, 2, 2):
+        tables.append_changes(path, w.where(f"written % 3 = {n}"), "uid", n)
+    schema = "uid string, written bigint, title string, status string, first_seen date"
+    tables.compacted(spark, path, schema, "uid", "written", small, parts=8)
+    return flat(tables.changes_of(spark, small, schema))
 
 
 @query("snk_replace_card", """
-  select c.uid, a.chain, a.address, case when c.k % 2 = 0 then 'changed' else c.project end as project,
+  select c.uid, cast(case when c.k % 10 = 0 then c.coll_day + 7 else c.coll_day end as varchar) as coll_day, a.chain, a.address,
+    case when c.k % 2 = 0 then 'changed' else c.project end as project,
     case when c.k % 2 = 0 and a.ord = 1 then 'victim' else a.role end as role, '2024-01-01' as first_seen
-  from card_addresses a join cards c on c.uid = a.uid
-  where (a.uid, a.chain, a.address) not in (select uid, chain, address from card_addresses
-    group by uid, chain, address having count(*) > 1)""")
+  from card_addresses a join cards c on c.uid = a.uid where c.k % 14 <> 0 or a.ord <> 2""")
 def snk_replace_card(spark, sf):
-    """All cards stored, then stored again with changes; addresses keep their first sighting."""
+    """All cards stored, then every second one again: changed, some on another day, some without their second address.
+
+    The others stay, and addresses keep their first sighting.
+    """
     path = scratch_path(spark, "cards")
     cards = load(spark, sf, "cards").select("uid", "coll_day", "project", "k")
-    a = load(spark, sf, "card_addresses").select("uid", "chain", "address", "role", "ord")
-    twice = a.groupBy("uid", "chain", "address").agg(F.count("*").alias("n")).where("n > 1").drop("n")
-    a = a.join(twice, ["uid", "chain", "address"], "left_anti")
-    tables.replace_cards(spark, path, cards, a.withColumn("first_seen", F.lit("2024-01-01").cast("date")))
-    changed = cards.withColumn("project", F.when(F.col("k") % 2 == 0, "changed").otherwise(F.col("project")))
-    even = cards.select("uid", "k")
-    again = a.join(even, "uid").withColumn("role", F.when((F.col("k") % 2 == 0) & (F.col("ord") == 1), "victim").otherwise(
-        F.col("role"))).drop("k").withColumn("first_seen", F.lit("2024-02-02").cast("date"))
+    a = load(spark, sf, "card_addresses").select("uid", "chain", "address", "role", "ord", "k")
+    tables.replace_cards(spark, path, cards, a.drop("k").withColumn("first_seen", F.lit("2024-01-01").cast("date")))
+    changed = cards.where("k % 2 = 0").withColumns({
+        "project": F.lit("changed"), "coll_day": F.when(F.col("k") % 10 == 0, F.date_add("coll_day", 7)).otherwise(F.col("coll_day"))})
+    again = a.where("k % 2 = 0 and (k % 14 <> 0 or ord <> 2)").withColumns({
+        "role": F.when(F.col("ord") == 1, "victim").otherwise(F.col("role")), "first_seen": F.lit("2024-02-02").cast("date")}).drop("k")
     tables.replace_cards(spark, path, changed, again)
-    stored = spark.read.parquet(f"{path}/addresses").select("uid", "chain", "address", "role", "first_seen")
-    return flat(stored.join(spark.read.parquet(f"{path}/cards").select("uid", "project"), "uid"))
+    stored = tables.stored_addresses(spark, path).select("uid", "chain", "address", "role", "first_seen")
+    return flat(stored.join(tables.stored_cards(spark, path).select("uid", "coll_day", "project"), "uid"))
 
 
 @query("snk_insert_absent", "select value, min(cast(d as varchar)) as first_seen from drops group by value")
@@ -274,32 +291,60 @@ def snk_blacklist_csv(spark, sf):
 
 
 @query("snk_archive", """
-  select 'archive' as part, strftime(day, '%Y-%m') as month, count(*) as n from rws group by all
-  union all select 'all', strftime(day, '%Y-%m'), count(*) from rws group by all
-  union all select 'addresses', strftime(r.day, '%Y-%m'), count(*) from raddr a join rws r on r.uid = a.uid group by all
-  union all select 'recent', strftime(day, '%Y-%m'), count(*) from rws where day >= (select max(day) from rws) - 90
-    group by all""")
+  select 'archive' as part, uid as key, strftime(day, '%Y-%m') as month, summary_en as content from rws
+  union all select 'all', uid, strftime(day, '%Y-%m'), project from rws
+  union all select 'addresses', concat(a.uid, '|', a.address), strftime(r.day, '%Y-%m'), concat(a.role, '|', a.note) from raddr a
+    join rws r on r.uid = a.uid
+  union all select 'recent', uid, strftime(day, '%Y-%m'), title from rws where day >= (select max(day) from rws) - 90
+  union all select 'briefings', cast(day as varchar), strftime(day, '%Y-%m'), cast(count(*) filter (followup_uid is null) as varchar) from rws group by day
+  union all select 'meta', 'rows_total', strftime(max(day), '%Y-%m'), cast(count(*) as varchar) from rws""")
 def snk_archive(spark, sf):
-    path = scratch_path(spark, "site")
-    tables.write_archive(incident_rows(spark, sf), row_addresses(spark, sf).drop("at", "addr_key"), path)
-    out = spark.read.schema("uid string, month string").json(f"{path}/archive").select(F.lit("archive").alias("part"), "month")
-    for part in ("all", "addresses", "recent"):
-        back = spark.read.schema("day string").json(f"{path}/{part}")
-        out = out.unionByName(back.select(F.lit(part).alias("part"), F.substring("day", 1, 7).alias("month")))
-    return out.groupBy("part", "month").agg(F.count("*").alias("n"))
+    path, r = scratch_path(spark, "site"), incident_rows(spark, sf)
+    a = row_addresses(spark, sf).drop("at", "addr_key")
+    tables.write_archive(r, a, path, briefings=an.briefing(r), meta=an.meta(r, a, sources(spark, sf)))
+    month = F.substring("day", 1, 7)
+    parts = {
+        "archive": ("uid string, month string, summary_en string", F.col("uid"), F.col("month"), F.col("summary_en")),
+        "all": ("uid string, day string, project string", F.col("uid"), month, F.col("project")),
+        "addresses": ("uid string, address string, day string, role string, note string", F.concat_ws("|", "uid", "address"), month,
+                      F.concat_ws("|", "role", "note")),
+        "recent": ("uid string, day string, title string", F.col("uid"), month, F.col("title")),
+        "briefings": ("day string, new string", F.col("day"), month, F.col("new")),
+        "meta": ("rows_total string, last_day string", F.lit("rows_total"), F.substring("last_day", 1, 7), F.col("rows_total")),
+    }
+    out = None
+    for part, (schema, key, when, content) in parts.items():
+        back = spark.read.schema(schema).json(f"{path}/{part}").select(
+            F.lit(part).alias("part"), key.alias("key"), when.alias("month"), content.alias("content"))
+        out = back if out is None else out.unionByName(back)
+    return out
 
 
 @query("snk_state", """
-  select 'items' as part, count(*) as n from raw_events union all select 'sdn', count(*) from sdn_snapshot
-  union all select 'lists', count(distinct value) from drops""")
+  select 'seen' as part, uid as key, cast(published_at as varchar) as detail from raw_events
+  union all select 'sdn', address, entity_name from sdn_snapshot
+  union all select 'source_runs', source, cast(max(coll_day) as varchar) from cards group by source
+  union all select 'lists', value, cast(min(d) as varchar) from drops group by value
+  union all select 'merge_decisions', concat(uid_a, '|', uid_b), cast(cast(same as int) as varchar) from accepted_pairs
+  union all select 'alerts_sent', uid, case when k % 3 = 0 then 'chat' else 'mail' end from cards where k % 3 = 0 or k % 5 = 0""")
 def snk_state(spark, sf):
-    path = scratch_path(spark, "state")
-    state = {"items": load(spark, sf, "raw_events"), "sdn": load(spark, sf, "sdn_snapshot"),
-             "lists": list_drop(spark, sf, "2024-01-01", "2024-12-31").distinct()}
+    """The six state tables, written and read back."""
+    path, day = scratch_path(spark, "state"), F.col("ts").cast("date")
+    cards = load(spark, sf, "cards")
+    accepted = resolve.accepted(decisions(spark, sf))
+    state = {
+        "seen": load(spark, sf, "raw_events").select(F.col("uid").alias("key"), F.col("published_at").cast("string").alias("detail")),
+        "sdn": load(spark, sf, "sdn_snapshot").select(F.col("address").alias("key"), F.col("entity_name").alias("detail")),
+        "source_runs": an.source_runs(cards).select(F.col("source").alias("key"), F.col("last_day").cast("string").alias("detail")),
+        "lists": read(spark, sf, "events").groupBy(listed().alias("key")).agg(F.min(day).cast("string").alias("detail")),
+        "merge_decisions": accepted.select(F.concat_ws("|", "uid_a", "uid_b").alias("key"), F.col("same").cast("int").cast("string").alias("detail")),
+        "alerts_sent": cards.where("k % 3 = 0 or k % 5 = 0").select(
+            F.col("uid").alias("key"), F.when(F.col("k") % 3 == 0, "chat").otherwise("mail").alias("detail")),
+    }
     tables.write_state(state, path)
     out = None
     for name in state:
-        one = spark.read.parquet(f"{path}/{name}").agg(F.count("*").alias("n")).select(F.lit(name).alias("part"), "n")
+        one = spark.read.parquet(f"{path}/{name}").select(F.lit(name).alias("part"), "key", "detail")
         out = one if out is None else out.unionByName(one)
     return out
 
@@ -312,11 +357,12 @@ def snk_logs(spark, sf):
     return spark.read.schema("uid string, run string").json(path)
 
 
-@query("snk_report_rows", """
+@query("snk_report_rows", f"""
   select cast(coll_day as varchar) as day, row_number() over (partition by coll_day order by
       coalesce(incident_date, published_at) desc nulls last, published_at desc nulls last, c.uid) as number, c.uid,
     case when coalesce(project, '') <> '' then project else title end as name, incident_type as type,
     cast(incident_date as varchar) as incident_date, array_to_string(chains, ', ') as chains,
+    coalesce({money_sql('amount_usd')}, case when amount_text <> '' then amount_text end, 'unknown') as amount,
     coalesce(n.n, 0) as n_addresses, case when k % 3 = 0 then concat(source, ' +2') else source end as source,
     coalesce(s.n, 0) as n_seen
   from cards c left join (select uid, count(*) as n from card_addresses group by uid) n on n.uid = c.uid
@@ -327,4 +373,4 @@ def snk_report_rows(spark, sf):
     merged = cards.where("k % 3 = 0").select("uid", F.lit(2).alias("n_merged"))
     known = matching.known_addresses(cards, a, load(spark, sf, "sdn_snapshot"))
     seen = known.where("other_cards > 0").groupBy("uid").agg(F.count("*").alias("n_seen"))
-    return flat(tables.report_rows(cards, a, merged, seen).drop("amount"))
+    return flat(tables.report_rows(cards, a, merged, seen))

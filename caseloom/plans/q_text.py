@@ -89,11 +89,6 @@ def txt_tx_hashes(spark, sf):
         "uid", F.array_join(extract.tx_hashes(F.col("text")), "|").alias("txs"))
 
 
-@query("mentions")
-def mentions(spark, sf):
-    return extract.mentions(load(spark, sf, "articles"))
-
-
 @query("txt_keyword_any", f"""
   select uid, cast(regexp_matches({BLOB}, '{keyword_sql(SUBJECT)}') as bigint) as hit from articles""")
 def txt_keyword_any(spark, sf):
@@ -154,6 +149,33 @@ def txt_chain_mentions(spark, sf):
         "uid", F.array_join(tx.chain_mentions(F.col("text")), "|").alias("chains"))
 
 
+MONEY_BOTH = ("(?i)(?:US\\$|\\$|USD\\s?)\\s?" + NUM + "\\s*(billion|million|thousand|bn|mn|[bmk])?\\b"
+              "|" + NUM + "\\s*(billion|million)\\s+(?:US\\s?)?dollars")
+TX_SQL = "(?:^|[^0-9a-zA-Z])(0x[a-fA-F0-9]{64})(?:[^0-9a-zA-Z]|$)"
+cte("mention_money", f"""
+  select uid, list_filter(list_transform(list_zip({', '.join(f"regexp_extract_all(text, '{MONEY_BOTH}', {g})" for g in (1, 2, 3, 4))}),
+    lambda z: case when z[1] <> '' then {scaled('z[1]', 'z[2]')} else {scaled('z[3]', 'z[4]')} end), lambda v: v >= 100) as v from articles""")
+cte("mention_chains", f"select uid, string_split(chains, '|') as w from ({chains_sql('articles')}) where chains <> ''")
+
+
+@query("mentions", f"""
+  select uid, 'address' as kind, arg_min(a, i) as value, concat('ETH:', lower(a)) as norm, min(i) - 1 as pos from (
+    select uid, unnest(m) as a, generate_subscripts(m, 1) as i from (select uid, regexp_extract_all(text,
+      '(?:^|[^0-9a-zA-Z])(0x[a-fA-F0-9]{{40}})(?:[^0-9a-zA-Z]|$)', 1) as m from articles)) group by uid, lower(a)
+  union all select uid, 'tx', h, h, row_number() over (partition by uid order by min(i)) - 1 from (
+    select uid, lower(unnest(m)) as h, generate_subscripts(m, 1) as i from (
+      select uid, regexp_extract_all(text, '{TX_SQL}', 1) as m from articles)) group by uid, h
+  union all select uid, 'money', n, n, min(i) - 1 from (select uid, cast(cast(unnest(v) as decimal(20, 0)) as varchar) as n,
+    generate_subscripts(v, 1) as i from mention_money) group by uid, n
+  union all select uid, 'chain', unnest(w), unnest(w), generate_subscripts(w, 1) - 1 from mention_chains
+  union all select uid, 'date', arg_min(d, i), n, min(i) - 1 from (select *, cast(case when regexp_matches(d, '^[0-9]')
+      then try_cast(d as date) else cast(try_strptime(d, ['%B %d, %Y', '%b %d, %Y']) as date) end as varchar) as n from (
+    select uid, unnest(m) as d, generate_subscripts(m, 1) as i from (
+      select uid, regexp_extract_all(text, '{extract.DAY_FORM}', 1) as m from articles))) where n is not null group by uid, n""")
+def mentions(spark, sf):
+    return flat(extract.mentions(load(spark, sf, "articles")))
+
+
 @query("txt_infer_chain", f"""
   select address, hint, case when length(address) = 42 and starts_with(address, '0x') then
       case when upper(hint) in {duck.words(fixed.EVM_HINTS)} then upper(hint) else 'ETH' end
@@ -304,11 +326,12 @@ def txt_url_key(spark, sf):
 
 
 @query("name_keys", f"""
+  select *, count(*) over (partition by kind, value) as rarity from (
   select uid, 'norm' as kind, {duck.norm(NAME)} as value from cards
   union all select uid, 'group', {GROUP_SQL} from cards
   union all select uid, 'url', {duck.url_key('url')} from cards
   union all select uid, 'word', unnest({duck.toks(NAME)}) from cards
-  union all select uid, 'trigram', unnest({duck.grams('norm')}) from (select uid, {duck.norm(NAME)} as norm from cards)""")
+  union all select uid, 'trigram', unnest({duck.grams('norm')}) from (select uid, {duck.norm(NAME)} as norm from cards))""")
 def name_keys(spark, sf):
     return extract.name_keys(load(spark, sf, "cards"))
 

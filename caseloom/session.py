@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,6 +64,19 @@ def cut_lineage(df: DataFrame, name: str = "step") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_KEPT: dict[tuple[str, str, str], str] = {}
+
+
+def kept_table(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    """A table that several queries of one session read: written to the shared folder by the first of them."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _KEPT:
+        path = scratch_path(spark, name)
+        make().write.parquet(path)
+        _KEPT[key] = path
+    return spark.read.parquet(_KEPT[key])
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give costly per-row work all cores when the input has too few splits; large inputs have enough and stay as is."""
     cores = df.sparkSession.sparkContext.defaultParallelism

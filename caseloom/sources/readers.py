@@ -231,7 +231,7 @@ def header_addresses(headers: DataFrame) -> DataFrame:
 
 
 # --- pages ---------------------------------------------------------------------------------------------------------
-def _per_page(pages: DataFrame, schema: str, rows_of: Callable[[hp.Node, str], list[tuple]]) -> DataFrame:
+def _per_page(pages: DataFrame, schema: str, rows_of: Callable[[hp.Element, str], list[tuple]]) -> DataFrame:
     """One pass over pages(url, html): each page yields rows; the pages stay in their partitions."""
     names = [part.split()[0] for part in re.split(r",\s*(?![^<]*>)", schema)]
 
@@ -245,7 +245,7 @@ def _per_page(pages: DataFrame, schema: str, rows_of: Callable[[hp.Node, str], l
     return pages.select("url", "html").mapInPandas(run, schema)
 
 
-def _list_entries(root: hp.Node, _: str) -> list[tuple]:
+def _list_entries(root: hp.Element, _: str) -> list[tuple]:
     out = []
     for li in root.all("li"):
         time = li.first("span.time")
@@ -282,7 +282,7 @@ def html_list(pages: DataFrame, since=None, source="slowmist") -> DataFrame:
         F.lit(True).alias("needs_enrichment")), source, since)
 
 
-def _messages(root: hp.Node, _: str) -> list[tuple]:
+def _messages(root: hp.Element, _: str) -> list[tuple]:
     out = []
     for wrap in root.all("div"):
         if "tgme_widget_message_wrap" not in (wrap.attrs.get("class") or "").split():
@@ -391,8 +391,8 @@ def payload_links(pages: DataFrame) -> DataFrame:
         F.coalesce(F.try_element_at(roles, slug), F.lit("unknown")).alias("role"), value.alias("value"))
 
 
-def _article(drop: tuple[str, ...]) -> Callable[[hp.Node, str], list[tuple]]:
-    def rows(root: hp.Node, html: str) -> list[tuple]:
+def _article(drop: tuple[str, ...]) -> Callable[[hp.Element, str], list[tuple]]:
+    def rows(root: hp.Element, html: str) -> list[tuple]:
         time = root.first("time")
         when = time.text(" ", strip=True) if time else ""
         if not when:

@@ -3,6 +3,7 @@
 import datetime as dt
 import itertools
 import random
+from collections import Counter
 
 import pandas as pd
 import pytest
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 
 from caseloom.functions import checksums, html
 from caseloom.functions import text as tx
-from caseloom.operators import extract, golden, quality, resolve
+from caseloom.operators import extract, follow, golden, quality, resolve, tables
+from caseloom.sources import readers
 
 
 def values(spark, column, *texts):
@@ -76,6 +78,32 @@ def test_page_text_prefers_the_article():
     assert html.page_text(root) == "one two three\nfour\nfive\nsix"
 
 
+def test_a_page_may_be_nested_without_end():
+    page = "<font>" * 100_000 + "deep" + "</b>" * 100_000 + "<p>one</p>"
+    assert html.page_text(html.parse(page)) == "one"
+    assert html.fragment_text(page) == "deep\none"
+
+
+def test_page_fields():
+    page = ("<html><head><title> A <b>b</b></title><meta name=date content=' 2024-01-01 '><meta name='description' content=''>"
+            "<meta name='twitter:description' content='t'></head><body><time datetime='2023'>x</time><div><p>a</p><p>b</p></div>"
+            "<form><p>no</p></form><ul><li>one<li>two <p>three</ul><p>Credit: me</p></body></html>")
+    root = html.parse(page)
+    assert (html.title(root), html.published(root), html.description(root)) == ("A  b".replace("  ", " "), "2024-01-01", "t")
+    assert html.page_text(root, drop=("^credit:",)) == "a\nb\none\ntwo three\nthree"
+    assert html.page_text(root, selectors=("ul",)) == "one\ntwo three\nthree"
+    assert html.fragment_text("<p>a<br>b</p> <i>c</i>") == "a\nb\nc"
+    assert html.published(html.parse("<time>March 5</time>")) == "March 5" and html.page_text(html.parse("")) == ""
+
+
+def test_articles_of_hand_made_pages(spark):
+    page = ("<html><head><title>Site - The Big Case</title><meta property='og:description' content='about it'></head><body>"
+            "<a href='/?tag=b'>B</a><a href='/?tag=a'>A</a><a href='/x'>no</a><p>out</p><article><p>Tuesday, March 5, 2024</p><p>lost <b>all</b></p></article></body></html>")
+    (r,) = readers.articles(spark.createDataFrame([("u1", page)], "url string, html string"), title_prefix="Site - ").collect()
+    assert (r.source_id, r.title, str(r.published_at), r.tags, r.hint) == ("u1", "The Big Case", "2024-03-05", ["A", "B"], "about it")
+    assert r.text == "Tuesday, March 5, 2024\nlost  all".replace("  ", " ")
+
+
 def vote(spark, rows):
     cols = "uid string, source string, amount_usd double, published_at date, amount_text string, tags array<string>"
     df = spark.createDataFrame(rows, cols).withColumn("g", F.lit(1))
@@ -94,6 +122,113 @@ def test_consensus(spark):
     assert vote(spark, board) == [(200.0, "")]
 
 
+def folded_vote(amounts):
+    """The rule on plain rows: clusters by running mean, the largest wins, the first of equals."""
+    clusters = []
+    for a, n in sorted(Counter(amounts).items()):
+        if clusters and abs(a - clusters[-1][1] / clusters[-1][0]) / (clusters[-1][1] / clusters[-1][0]) <= 0.05:
+            c = clusters[-1]
+            clusters[-1] = (c[0] + n, c[1] + a * n, c[2])
+        else:
+            clusters.append((n, a * n, a))
+    most = max(c[0] for c in clusters)
+    return next(c for c in clusters if c[0] == most)
+
+
+def test_consensus_equals_a_plain_fold(spark):
+    rng, day = random.Random(3), dt.date(2024, 1, 1)
+    for scale in (0.02, 0.3, 3):
+        amounts = [round(100 * 2.718281828 ** rng.uniform(0, scale), 2) for _ in range(80)]
+        (amount, _), = vote(spark, [(f"u{i:03d}", "other", a, day, "", []) for i, a in enumerate(amounts)])
+        assert amount == folded_vote(amounts)[2]  # one day, no text: the smallest amount speaks
+
+
+def test_consensus_of_a_hundred_thousand_amounts(spark):
+    df = spark.range(100_000).select(
+        F.format_string("u%06d", "id").alias("uid"), F.lit("other").alias("source"), (F.col("id") * 7 + 1000).cast("double").alias("amount_usd"),
+        F.lit(dt.date(2024, 1, 1)).alias("published_at"), F.lit("").alias("amount_text"), F.array().cast("array<string>").alias("tags"), F.lit(1).alias("g"))
+    (row,) = golden.consensus(df, "g").collect()
+    assert row.amount_usd == folded_vote([i * 7 + 1000.0 for i in range(100_000)])[2]
+
+
+CARD = ("uid string, source string, source_id string, url string, coll_day date, incident_type string, incident_date date, published_at date, "
+        "tags array<string>, amount_usd double, amount_text string, title string, project string, relevant boolean, tx_hashes array<string>, "
+        "chains array<string>, actors array<string>, enriched boolean, summary_ko string, summary_en string, attack_method string")
+NO_ADDRESSES = "uid string, ord bigint, address string, chain string, role string, note string"
+
+
+def cards_of(spark, *cards):
+    base = {"source": "other", "source_id": "", "url": "", "incident_type": "scam_fraud", "tags": [], "amount_text": "", "relevant": True,
+            "chains": [], "actors": [], "enriched": True, "summary_ko": "", "summary_en": "", "attack_method": "", "amount_usd": None, "tx_hashes": []}
+    rows = []
+    for uid, day, project, more in cards:
+        row = base | {"uid": uid, "coll_day": day, "incident_date": day, "published_at": day, "project": project, "title": project} | more
+        rows.append(tuple(row[c.split()[0]] for c in CARD.split(", ")))
+    return spark.createDataFrame(rows, CARD)
+
+
+def resolved(spark, cards):
+    none = spark.createDataFrame([], NO_ADDRESSES)
+    m = golden.members(cards, none, resolve.components(cards, resolve.merge_edges(cards, none)))
+    g = golden.golden_records(m)
+    tx_rows = golden.golden_tx(m).join(g.select("cid", "uid"), "cid")
+    links = follow.followup_links(g, golden.golden_addresses(m, none).join(g.select("cid", "uid"), "cid"), None, tx_rows)
+    return m, g, links
+
+
+def test_follow_up_by_the_last_of_41_hashes(spark):
+    many = [f"0x{i:064x}" for i in range(41)]
+    cards = cards_of(spark, ("a", dt.date(2024, 1, 1), "Alphaville", {"tx_hashes": many}), ("b", dt.date(2024, 1, 8), "Omegatown", {"tx_hashes": many[-1:]}))
+    m, g, links = resolved(spark, cards)
+    assert {r.uid: len(r.tx_hashes) for r in g.collect()} == {"a": 41, "b": 1}
+    assert [(r.uid, r.orig_uid) for r in links.collect()] == [("b", "a")]
+
+
+def test_chains_of_follow_ups_and_revised_amounts(spark):
+    """c reports on b, b on a; the three vote on a's amount again, d stays alone."""
+    name, day = "Bridgekeeper", dt.date(2024, 1, 1)
+    cards = cards_of(
+        spark, ("a", day, name, {"amount_usd": 100.0}), ("b", day + dt.timedelta(10), name, {"amount_usd": 200.0}),
+        ("c", day + dt.timedelta(20), name, {"amount_usd": 201.0, "incident_date": day + dt.timedelta(12)}), ("d", day, "Otherthing", {"amount_usd": 7.0}))
+    m, g, links = resolved(spark, cards)
+    assert {(r.uid, r.orig_uid) for r in links.collect()} == {("b", "a"), ("c", "b")}
+    roots = follow.followup_roots(links)
+    assert {(r.uid, r.root_uid) for r in roots.collect()} == {("b", "a"), ("c", "a")}
+    revised = {r.uid: (r.amount_usd, r.amount_revised_from) for r in follow.revise_amounts(g, m, roots).collect()}
+    assert revised["a"] == (201.0, 100.0) and revised["d"] == (7.0, None)
+
+
+def test_names_are_compared_inside_a_day_only(spark):
+    p = resolve.profile_table(cards_of(spark, ("a", dt.date(2024, 1, 1), "Moonbase", {}), ("b", dt.date(2024, 1, 1), "Moonbases", {}),
+                                       ("c", dt.date(2024, 5, 6), "Moonbases", {})))
+    assert {(str(r.scope), r.a, r.b) for r in resolve.name_pairs(p, ["scope"]).collect()} == {("2024-01-01", "moonbase", "moonbases")}
+
+
+def test_numbers_inside_a_key(spark):
+    df = spark.range(3000).selectExpr("id % 3 as k", "id * 7919 % 3000 as v").repartition(16)
+    got = {(r.k, r.v): r.n for r in tables.numbered(df, ["k"], ["v"], "n").collect()}
+    for k in range(3):
+        ordered = sorted(v for (kk, v) in got if kk == k)
+        assert [got[k, v] for v in ordered] == list(range(1, 1001))
+
+
+@pytest.mark.parametrize("threshold, length", [(0.5, 9), (0.5, 40), (0.6, 30)])
+def test_jaccard_pairs_of_longer_sets(spark, threshold, length):
+    rng = random.Random(length)
+    base = ["".join(rng.choice("abcdef") for _ in range(length)) for _ in range(12)]
+    names = {"".join(c if rng.random() > 0.1 else rng.choice("abcdef") for c in rng.choice(base))[: rng.randint(1, length)] for _ in range(160)}
+    df = spark.createDataFrame([(n,) for n in names], "norm string").withColumn("grams", tx.trigrams(F.col("norm")))
+    got = {tuple(sorted((r.id_a, r.id_b))) for r in resolve.jaccard_pairs(df, [], "norm", "grams", threshold).collect()}
+
+    def grams(s):
+        s = f"  {s} "
+        return {s[i:i + 3] for i in range(len(s) - 2)}
+
+    want = {tuple(sorted(p)) for p in itertools.combinations(names, 2)
+            if len(grams(p[0]) & grams(p[1])) / len(grams(p[0]) | grams(p[1])) >= threshold}
+    assert got == want and want
+
+
 def test_jaccard_pairs_equal_brute_force(spark):
     rng = random.Random(7)
     names = {"".join(rng.choice("abcd") for _ in range(rng.randint(1, 9))) for _ in range(150)}
