@@ -33,9 +33,12 @@ from pyspark.sql import types as T
 
 from caseloom.llm.frames import free_name
 from caseloom.llm.lexicon import Lexicon, compile_words
+from caseloom.session import cut_lineage
 
 LEXICON = 50_000
 RECENT = 400_000
+LONG = 64
+_NONE = np.iinfo(np.int64).max
 #: Fixed value: the pre-tokenizer's pattern, with white space as Unicode's property of that name.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+".replace(r"\s", r"\p{White_Space}").replace(
     r"\S", r"\P{White_Space}")
@@ -69,25 +72,48 @@ class Merges:
         for k, pair in enumerate(spec["model"]["merges"]):
             left, right = pair.split(" ") if isinstance(pair, str) else pair
             self.rank[raw[left], raw[right]] = (k, raw[left + right])
+        # the same as arrays, in the order of left * size + right
+        size = len(self.pieces)
+        table = np.array(sorted((left * size + right, k, new) for (left, right), (k, new) in self.rank.items()), dtype=np.int64).reshape(-1, 3)
+        self.codes, self.ranks, self.joined = (np.ascontiguousarray(table[:, i]) for i in range(3))
 
     def merge(self, word: bytes) -> list[int]:
-        """Ids of one word: the pair of lowest rank, the leftmost of equals, is joined until none is left."""
-        ids = [self.byte_id[b] for b in word]
-        if len(ids) < 24:
-            while len(ids) > 1:
-                best = min(((self.rank[p], i) for i, p in enumerate(zip(ids, ids[1:], strict=False)) if p in self.rank), default=None)
-                if best is None:
-                    break
-                (_, new), i = best
-                ids[i : i + 2] = [new]
-            return ids
-        return self._merge_long(ids)
+        return self.merge_all([word])[0].tolist()
+
+    def merge_all(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words end to end, and how many each has: the pair of lowest rank, the leftmost of equals, is joined
+        until none is left. Words up to LONG bytes take each step together."""
+        out = [np.zeros(0, np.int64)] * len(words)
+        for i, word in enumerate(words):
+            if len(word) > LONG:
+                out[i] = np.array(self._merge_long([self.byte_id[b] for b in word]))
+        live = np.array([i for i, word in enumerate(words) if 0 < len(word) <= LONG], dtype=np.int64)
+        length = np.array([len(words[i]) for i in live], dtype=np.int64)
+        ids = np.array(self.byte_id)[np.frombuffer(b"".join(words[i] for i in live), np.uint8)]
+        while len(live):
+            first = np.cumsum(length) - length
+            code = ids[:-1] * len(self.pieces) + ids[1:]
+            at = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
+            key = np.full(len(ids), _NONE)
+            known = self.codes[at] == code
+            key[:-1][known] = (self.ranks[at[known]] << 32) + np.flatnonzero(known)
+            key[first + length - 1] = _NONE  # no pair reaches into the next word
+            best = np.minimum.reduceat(key, first)
+            done = best == _NONE
+            if done.any():
+                for i, a, n in zip(live[done], first[done], length[done], strict=True):
+                    out[i] = ids[a : a + n]
+            spot = (best[~done] & 0xFFFFFFFF).astype(np.int64)
+            ids[spot] = self.joined[at[spot]]
+            stay = np.repeat(~done, length)
+            stay[spot + 1] = False
+            ids, live, length = ids[stay], live[~done], length[~done] - 1
+        return np.concatenate([np.zeros(0, np.int64), *out]).astype(np.uint32), np.array([len(o) for o in out], dtype=np.int64)
 
     def _merge_long(self, ids: list[int]) -> list[int]:
         """The same by a heap over a linked list, for words without a bound on their length."""
         after, prior = [*range(1, len(ids)), -1], [*range(-1, len(ids) - 1)]
-        heap = [(*self.rank[p], i, p) for i, p in enumerate(zip(ids, ids[1:], strict=False)) if p in self.rank]
-        heap = [(k, i, p, new) for k, new, i, p in heap]
+        heap = [(self.rank[p][0], i, p, self.rank[p][1]) for i, p in enumerate(zip(ids, ids[1:], strict=False)) if p in self.rank]
         heapq.heapify(heap)
         while heap:
             _, i, (left, right), new = heapq.heappop(heap)
@@ -139,11 +165,24 @@ def _counted(batches: Iterator[pa.RecordBatch], special: dict[str, int], most: i
 
 
 def frequent_words(docs: DataFrame, special: dict[str, int], n: int = LEXICON) -> list[str]:
-    """The n most frequent words of all texts; ties go to the smaller word. n bounds what reaches the driver."""
+    """The most frequent words of all texts: all that are said more often than a cutoff, which leaves n at most.
+
+    The cutoff comes from a histogram of the counts, exact below 4096 and in sixteenths of a doubling above, so neither it
+    nor the words that reach the driver grow with the data.
+    """
     counts = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(
         partial(_counted, special=special, most=200_000), "word string, n long")
-    total = counts.groupBy("word").agg(F.sum("n").alias("n")).where("n > 1")
-    return [r["word"] for r in total.orderBy(F.desc("n"), "word").limit(n).collect() if r["word"] not in special]
+    total = cut_lineage(counts.groupBy("word").agg(F.sum("n").alias("n")).where("n > 1"), "words")
+    step = F.when(F.col("n") < 4096, F.col("n")).otherwise(F.floor(F.log2("n") * 16) + 4096 - 12 * 16).cast("long")
+    histogram = {r["step"]: r["words"] for r in total.groupBy(step.alias("step")).agg(F.count("*").alias("words")).collect()}
+    kept, cutoff = 0, None
+    for s in sorted(histogram, reverse=True):
+        if kept + histogram[s] > n:
+            break
+        kept, cutoff = kept + histogram[s], s
+    if cutoff is None:
+        return []
+    return [r["word"] for r in total.where(step >= cutoff).select("word").collect() if r["word"] not in special]
 
 
 class Encoder:
@@ -166,7 +205,7 @@ class Encoder:
 
     def reset(self) -> None:
         self.row: dict[str, int] = {}
-        self.ids, self.at = [np.zeros(0, np.uint32)], [np.zeros(1, np.int64)]
+        self.ids, self.at = np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
     @classmethod
     def of(cls, shared) -> Encoder:
@@ -184,22 +223,25 @@ class Encoder:
         if len(self.row) + len(new) > RECENT and self.row:
             self.reset()
             new = list(words)
+        marks = [w for w in new if w in self.merges.special]
+        new = [w for w in new if w not in self.merges.special] if marks else new
         raw = [w.encode() for w in new]
         rank = self.lexicon.ranks(raw)
-        found = [self.known_ids[self.known_at[r] : self.known_at[r + 1]] if r >= 0 else
-                 np.array([self.merges.special[w]] if w in self.merges.special else self.merges.merge(b), np.uint32)
-                 for w, b, r in zip(new, raw, rank, strict=True)]
-        base, begin = int(self.at[-1][-1]), len(self.row)
-        self.row.update((w, begin + k) for k, w in enumerate(new))
-        self.ids.append(np.concatenate(found))
-        self.at.append(base + np.cumsum([len(f) for f in found]))
-        self.ids, self.at = [np.concatenate(self.ids)], [np.concatenate(self.at)]
+        held, rest = np.flatnonzero(rank >= 0), np.flatnonzero(rank < 0)
+        start, length = self.known_at[rank[held]], np.diff(self.known_at)[rank[held]]
+        merged, sizes = self.merges.merge_all([raw[i] for i in rest])
+        names = [new[i] for i in (*held, *rest)] + marks
+        ids = np.concatenate([_gathered(self.known_ids, start, length), merged, np.array([self.merges.special[w] for w in marks], np.uint32)])
+        begin, ends = len(self.row), np.cumsum(np.concatenate([length, sizes, np.ones(len(marks), np.int64)]))
+        self.row.update(zip(names, range(begin, begin + len(names)), strict=True))
+        self.at = np.concatenate([self.at, self.at[-1] + ends])
+        self.ids = np.concatenate([self.ids, ids])
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, unsigned 32-bit."""
         split = [self.splitter.split(t) for t in texts]
         self.learn(set().union(*split))
-        at, ids, out = self.at[0], self.ids[0], []
+        at, ids, out = self.at, self.ids, []
         for words in split:
             rows = np.fromiter(map(self.row.__getitem__, words), np.int64, len(words))
             out.append(_gathered(ids, at[rows], at[rows + 1] - at[rows]))
@@ -221,10 +263,9 @@ def encoder(docs: DataFrame, path: str, n: int = LEXICON):
     """A broadcast of what workers need: vocabulary, merges and the compiled lexicon, all of bounded size."""
     merges = Merges(path)
     words = sorted(w.encode() for w in frequent_words(docs, merges.special, n))
-    ids = [np.array(merges.merge(w), np.uint32) for w in words]
+    flat, sizes = merges.merge_all(words)
     lexicon = compile_words(words)
-    at = np.concatenate(([0], np.cumsum([len(i) for i in ids]))).astype(np.int64)
-    flat = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
+    at = np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
     key = hashlib.sha256(lexicon + os.path.basename(path).encode()).hexdigest()
     return docs.sparkSession.sparkContext.broadcast({"key": key, "merges": merges, "lexicon": lexicon, "at": at, "ids": flat})
 
