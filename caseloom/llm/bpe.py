@@ -36,7 +36,7 @@ from caseloom.llm.lexicon import Lexicon, compile_words
 from caseloom.session import cut_lineage
 
 LEXICON = 50_000
-RECENT = 400_000
+RECENT = 200_000
 LONG = 64
 _NONE = np.iinfo(np.int64).max
 #: Fixed value: the pre-tokenizer's pattern, with white space as Unicode's property of that name.

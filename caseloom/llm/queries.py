@@ -47,9 +47,27 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict", "score")
 
 
-@query()
+@query(r"""
+with t as (select doc_id, text, regexp_extract(text, '^\s*', 0) as lead from documents),
+p as (select doc_id, string_split(regexp_replace(substr(text, length(lead) + 1), '([.!?]+["'')\]]*\s+|\s*\n\s*)', concat('\1', chr(1)), 'g'), chr(1)) as parts, lead from t),
+q as (select doc_id, unnest(parts) as part, generate_subscripts(parts, 1) as i, lead from p),
+z as (select doc_id, i, case when i = 1 then concat(lead, part) else part end as part, trim(regexp_replace(lower(part), '\s+', ' ', 'g')) as norm
+  from q where part <> '' or i = 1),
+r as (select *, concat(norm, chr(10), lead(norm) over (partition by doc_id order by i)) as pair, lead(norm) over (partition by doc_id order by i) is not null as whole from z),
+f as (select pair, min(row(doc_id, i)) as first from r where whole group by pair having count(*) > 1),
+l as (select r.doc_id, r.i from r join f on f.pair = r.pair where r.whole and row(r.doc_id, r.i) <> f.first),
+c as (select doc_id, i from l union select doc_id, i + 1 from l),
+g as (select doc_id, i, i - row_number() over (partition by doc_id order by i) as g from c),
+n as (select g.*, sum(len(string_split(z.norm, ' '))) over (partition by g.doc_id, g.g) as words from g join z on z.doc_id = g.doc_id and z.i = g.i),
+gone as (select doc_id, i from n where words >= 25)
+select d.doc_id, case when d.text is null then null else coalesce(k.text, '') end as text, coalesce(m.n, 0)::integer as removed_sentences
+from documents d left join (select z.doc_id, string_agg(z.part, '' order by z.i) as text from z anti join gone on gone.doc_id = z.doc_id and gone.i = z.i
+  group by z.doc_id) k on k.doc_id = d.doc_id
+left join (select doc_id, count(*) as n from gone group by doc_id) m on m.doc_id = d.doc_id
+""")
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup.cleaned(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    cleaned = substring_dedup.cleaned(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cleaned.select("doc_id", "text", "removed_sentences")
 
 
 @query()
@@ -87,7 +105,20 @@ def op7_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "source", mixing.n_tokens().alias("n_tokens"), "weight", "copies")
 
 
-@query()
+@query(r"""
+with recursive w as (select doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') as w from documents),
+s as (select doc_id, case when len(w) >= 5 then list_distinct(list_transform(generate_series(1, len(w) - 4), lambda i: array_to_string(w[i:i + 4], ' ')))
+    when len(w) > 0 then [array_to_string(w, ' ')] else [] end as s from w),
+x as (select doc_id, unnest(s) as g from s),
+n as (select doc_id, len(s) as n from s),
+met as (select a.doc_id as u, b.doc_id as v, count(*) as c from x a join x b on a.g = b.g and a.doc_id < b.doc_id group by all),
+links as (select u, v from met join n p on p.doc_id = u join n q on q.doc_id = v where 100 * c >= 85 * (p.n + q.n - c)),
+closure as (select doc_id, doc_id as o from s union
+  select c.doc_id, e.o from closure c join (select u, v as o from links union select v, u from links) e on e.u = c.o)
+select s.doc_id, len(s.s) as n_shingles, c.component_id, c.component_id = s.doc_id as kept
+from s join (select doc_id, min(o) as component_id from closure group by doc_id) c on c.doc_id = s.doc_id
+""")
 def op8_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 

@@ -27,7 +27,7 @@ from caseloom.llm.frames import free_name
 
 MARK = "▁"
 UNKNOWN_PENALTY = 10.0
-RECENT = 400_000
+RECENT = 200_000
 
 
 @dataclass(frozen=True)
@@ -52,7 +52,7 @@ def from_sentencepiece(path: str) -> Vocabulary:
 
 
 class Counter:
-    _made: dict[int, Counter] = {}
+    _made: tuple[Vocabulary, Counter] | None = None  # the worker's last one
 
     def __init__(self, vocabulary: Vocabulary):
         self.unknown, self.fallback = vocabulary.unknown, vocabulary.falls_back
@@ -67,10 +67,9 @@ class Counter:
 
     @classmethod
     def of(cls, shared) -> Counter:
-        if shared.id not in cls._made:
-            cls._made.clear()
-            cls._made[shared.id] = cls(shared.value)
-        return cls._made[shared.id]
+        if cls._made is None or cls._made[0] is not shared.value:
+            cls._made = (shared.value, cls(shared.value))
+        return cls._made[1]
 
     def word(self, word: str) -> tuple[int, float]:
         """(pieces, score) of the best path through one word."""
