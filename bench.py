@@ -11,7 +11,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from caseloom.plans.catalog import QUERIES  # noqa: E402
-from caseloom.session import local_session  # noqa: E402
+from caseloom.session import clear_scratch, local_session  # noqa: E402
 
 HEADLINES = [
     "agg_stats_type", "agg_stats_daily", "agg_facets", "agg_timeseries", "agg_address_list", "jn_related",
@@ -34,6 +34,7 @@ def main() -> None:
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             took.append(time.perf_counter() - start)
         times[name] = round(statistics.median(took), 3)
+    clear_scratch(spark)
     print(json.dumps({
         "metric": "headline_total", "value": round(sum(times.values()), 3), "unit": "sec", "queries": times,
         "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf"),

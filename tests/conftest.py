@@ -5,14 +5,16 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from caseloom.session import local_session  # noqa: E402
+from caseloom.session import clear_scratch, local_session  # noqa: E402
 
 SMALL = "/root/testdata/sf0.001"
 
 
 @pytest.fixture(scope="session")
 def spark():
-    return local_session(8, app="tests")
+    session = local_session(8, app="tests")
+    yield session
+    clear_scratch(session)
 
 
 @pytest.fixture(scope="session")
