@@ -2,13 +2,17 @@
 
 Every text becomes its set of distinct word shingles and one signature of `BINS` minima from a single hash. Equal sets
 fall into one class first, so copies cost one row each. Classes meet in buckets of `ROWS` bins; a bucket gives edges
-from its smallest class only (a star), so its edges grow with its size. Edges are confirmed on the full sets. Where a
-star leaves members of a bucket in several components, further centres of that bucket (1, 2, 4, ... more a round) are
-tested against what is left until no untested pair of two components remains: links that a star misses are found
-without listing the pairs of a group that already hangs together.
+from its smallest class, its centre, to the others (a star), confirmed on the full sets.
+
+A star can miss links: two members may be similar to one another and not to the centre. Let D be what a member's set
+differs in from the centre's, E what it adds and R what it lacks. Two members differ in the shingles that are in one D
+only, so similar ones must have much of D in common whenever one of them failed against the centre. Prefix filtering
+over E and R, rarest first, finds them: shingles that no other component's member holds come first and meet nobody, so
+copies edited apart fall out without ever being paired, and no link is lost. What is found is confirmed on full sets.
 
 Defined cases. Null or blank text: `n_shingles` 0, linked with nothing. Null doc_id: no vertex; `component_id` null,
-kept. Rows that share a doc_id are one vertex. An empty table gives an empty result. Other columns are not read.
+kept. Rows that share a doc_id are one vertex, linked by any of its texts. An empty table gives an empty result. Other
+columns are not read.
 """
 
 from __future__ import annotations
@@ -28,8 +32,8 @@ from caseloom.operators.resolve import components
 from caseloom.session import cut_lineage
 
 BINS, ROWS = 128, 4  # 32 buckets a text; a pair at 0.8 misses all of them with probability 5e-8
-SAFE, LEAST = 320, 0.6  # sets of SAFE shingles on: pairs that agree in fewer than LEAST of the bins aren't read in full
-SKETCH = "doc_id long, n long, hi long, lo long, bands array<long>, bins binary"
+SKETCH = "doc_id long, node long, n long, hi long, lo long, bands array<long>"
+DELTA = "c long, m long, rep long, cid long, n long, e array<long>, r array<long>"
 
 
 def _probes(n: int = 64) -> np.ndarray:
@@ -65,7 +69,7 @@ def signature(shingles: np.ndarray) -> np.ndarray:
 def _sketched(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
     band = np.arange(BINS // ROWS, dtype=np.uint64)
     for batch in batches:
-        n, hi, lo, bands, bins = [], [], [], [], []
+        n, hi, lo, bands = [], [], [], []
         for s in shingle_sets(batch.column("text"), words):
             n.append(len(s))
             digest = np.frombuffer(hashlib.blake2b(s.tobytes(), digest_size=16).digest(), np.int64)
@@ -73,133 +77,140 @@ def _sketched(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.Reco
             lo.append(digest[1])
             if not len(s):
                 bands.append([])
-                bins.append(b"")
                 continue
-            sig = signature(s)
-            key = np.zeros(len(band), np.uint64)
+            sig, key = signature(s), np.zeros(len(band), np.uint64)
             for k in range(ROWS):
                 key = salted(key ^ sig[k::ROWS], k + 1)
             bands.append(mix(key + band).view(np.int64))
-            bins.append((sig >> np.uint64(24)).astype(np.uint16).tobytes())
         yield pa.RecordBatch.from_arrays(
-            [batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(hi, pa.int64()), pa.array(lo, pa.int64()),
-             pa.array(bands, pa.list_(pa.int64())), pa.array(bins, pa.binary())],
-            names=["doc_id", "n", "hi", "lo", "bands", "bins"])
+            [batch.column("doc_id"), batch.column("node"), pa.array(n, pa.int64()), pa.array(hi, pa.int64()), pa.array(lo, pa.int64()),
+             pa.array(bands, pa.list_(pa.int64()))], names=["doc_id", "node", "n", "hi", "lo", "bands"])
 
 
-def _agreeing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs that can still be similar: by size, and by agreeing bins where the sets are large."""
-    for batch in batches:
-        col = {name: batch.column(name).to_pylist() for name in ("bins_a", "bins_b")}
-        same = [np.count_nonzero(np.frombuffer(x, np.uint16) == np.frombuffer(y, np.uint16)) for x, y in zip(col["bins_a"], col["bins_b"], strict=True)]
-        least = np.minimum(batch.column("n_a").to_numpy(zero_copy_only=False), batch.column("n_b").to_numpy(zero_copy_only=False))
-        keep = (least < SAFE) | (np.array(same, dtype=np.int64) >= LEAST * BINS)
-        yield batch.select(["a", "b"]).filter(pa.array(keep))
+def _pairs_of_sets(batch: pa.RecordBatch, words: int) -> Iterator[tuple[pa.RecordBatch, list]]:
+    """Runs of rows of (text_a, text_b) with the shingle sets of both sides, some hundred texts at a time."""
+    for start in range(0, batch.num_rows, 256):
+        part = batch.slice(start, 256)
+        centres = part.column("text_a").dictionary_encode()  # a star's centre comes with every member
+        sets = list(shingle_sets(centres.dictionary, words))
+        yield part, list(zip([sets[k] for k in centres.indices.to_pylist()], shingle_sets(part.column("text_b"), words), strict=True))
 
 
 def _confirmed(batches: Iterator[pa.RecordBatch], words: int, percent: int) -> Iterator[pa.RecordBatch]:
     """Pairs with 100 * intersection >= percent * union on the full sets."""
     for batch in batches:
-        for start in range(0, batch.num_rows, 256):  # sets of a few hundred texts at a time
-            part = batch.slice(start, 256)
-            centres = part.column("text_a").dictionary_encode()  # a star's centre comes with every member
-            sets = list(shingle_sets(centres.dictionary, words))
-            keep = []
-            for k, y in zip(centres.indices.to_pylist(), shingle_sets(part.column("text_b"), words), strict=True):
-                x = sets[k]
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(both > 0 and 100 * both >= percent * (len(x) + len(y) - both))
+        for part, sets in _pairs_of_sets(batch, words):
+            both = [len(np.intersect1d(x, y, assume_unique=True)) for x, y in sets]
+            keep = [n > 0 and 100 * n >= percent * (len(x) + len(y) - n) for n, (x, y) in zip(both, sets, strict=True)]
             yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-class _Graph:
-    """Classes, their texts and the links found so far."""
-
-    def __init__(self, docs: DataFrame, sketch: DataFrame, reps: DataFrame, words: int, percent: int):
-        self.sketch, self.reps, self.words, self.percent = sketch, reps, words, percent
-        self.docs, self.links, self.tested, self.label = docs, None, None, None
-
-    def joined(self, pairs: DataFrame) -> DataFrame:
-        """Pairs (a, b) whose ends lie in different components, and that weren't tested."""
-        if self.label is not None:
-            ends = self.label
-            pairs = pairs.join(ends.select(F.col("uid").alias("a"), F.col("cid").alias("ca")), "a", "left").join(
-                ends.select(F.col("uid").alias("b"), F.col("cid").alias("cb")), "b", "left"
-            ).where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
-        return pairs if self.tested is None else pairs.join(self.tested, ["a", "b"], "left_anti")
-
-    def test(self, pairs: DataFrame) -> bool:
-        """Confirm pairs; False when there was nothing to test."""
-        pairs = cut_lineage(self.joined(pairs), "pairs")
-        if pairs.isEmpty():
-            return False
-        size = self.reps.select("rep", "n", "bins")
-        close = pairs.join(size.select(F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("bins").alias("bins_b")), "b").join(
-            size.select(F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("bins").alias("bins_a")), "a"
-        ).where(100 * F.least("n_a", "n_b") >= self.percent * F.greatest("n_a", "n_b"))
-        close = cut_lineage(close.mapInArrow(_agreeing, "a long, b long"), "close")
-        needed = close.select(F.col("a").alias("doc_id")).union(close.select(F.col("b").alias("doc_id"))).distinct()
-        texts = cut_lineage(self.docs.join(needed, "doc_id", "left_semi"), "texts")
-        full = close.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b").join(
-            texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a"
-        ).select("a", "b", "text_a", "text_b")
-        found = cut_lineage(full.mapInArrow(partial(_confirmed, words=self.words, percent=self.percent), "a long, b long"), "links")
-        self.links = found if self.links is None else self.links.union(found)
-        self.tested = pairs if self.tested is None else self.tested.union(pairs)
-        if not found.isEmpty():
-            nodes = self.links.select(F.col("a").alias("uid")).union(self.links.select(F.col("b").alias("uid"))).distinct()
-            self.label = cut_lineage(components(nodes, self.links), "labels")
-        return True
+def _differing(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBatch]:
+    """What each member's set adds to its centre's and lacks of it."""
+    def lists(values: list[np.ndarray]) -> pa.Array:
+        at = np.concatenate(([0], np.cumsum([len(v) for v in values]))).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate([*values, np.zeros(0, np.uint64)]).view(np.int64)))
+
+    for batch in batches:
+        for part, sets in _pairs_of_sets(batch, words):
+            yield pa.RecordBatch.from_arrays(
+                [*(part.column(c) for c in ("c", "m", "rep", "cid", "n")), lists([np.setdiff1d(y, x, assume_unique=True) for x, y in sets]),
+                 lists([np.setdiff1d(x, y, assume_unique=True) for x, y in sets])], names=["c", "m", "rep", "cid", "n", "e", "r"])
+
+
+class _Texts:
+    """The texts of all classes that share a bucket with another."""
+
+    def __init__(self, docs: DataFrame, nodes: DataFrame, words: int, percent: int):
+        self.words, self.percent = words, percent
+        # the nodes grow with the documents, so they are never broadcast, however few they are
+        self.rows = cut_lineage(docs.select("node", "text").join(nodes.hint("merge"), "node", "left_semi"), "texts")
+
+    def beside(self, pairs: DataFrame, a: str, b: str) -> DataFrame:
+        """pairs with text_a and text_b, the texts of the nodes in two of its columns."""
+        return pairs.join(self.rows.select(F.col("node").alias(b), F.col("text").alias("text_b")), b).join(
+            self.rows.select(F.col("node").alias(a), F.col("text").alias("text_a")), a)
+
+    def confirm(self, pairs: DataFrame) -> DataFrame:
+        """(a, b) of the rows of pairs(x, y, a, b) whose texts, those of nodes x and y, are similar."""
+        full = self.beside(pairs, "x", "y").select("a", "b", "text_a", "text_b")
+        return cut_lineage(full.mapInArrow(partial(_confirmed, words=self.words, percent=self.percent), "a long, b long"), "links")
+
+    def deltas(self, stars: DataFrame) -> DataFrame:
+        """(c, m, rep, cid, n, e, r) of stars(c, m, rep, cid, n)."""
+        full = self.beside(stars, "c", "m").select("c", "m", "rep", "cid", "n", "text_a", "text_b")
+        return cut_lineage(full.mapInArrow(partial(_differing, words=self.words), DELTA), "deltas")
+
+
+def _joined(links: DataFrame) -> DataFrame:
+    """(uid, cid) of the vertices of links (a, b)."""
+    ends = links.select(F.col("a").alias("uid")).union(links.select(F.col("b").alias("uid"))).distinct()
+    return cut_lineage(components(ends, links), "components")
+
+
+def _with_cid(rows: DataFrame, label: DataFrame) -> DataFrame:
+    return rows.join(label.withColumnRenamed("uid", "rep"), "rep", "left").withColumn("cid", F.coalesce("cid", "rep"))
+
+
+def _missed(stars: DataFrame, texts: _Texts) -> DataFrame:
+    """(x, y, a, b): pairs of members of one star and two components that may be similar; nodes x, y, components a, b.
+
+    stars: (c, m, rep, cid, n). For a pair that is similar with sizes S in all,
+    the Ds have o = (|D1| + |D2| - k S) / 2 elements in common or more, k = (100 - percent) / (100 + percent). Of those
+    at least o - min(|R1|, |R2|) are in both Es; without any there, o are in both Rs. `slack` is how much of a D can
+    differ from any similar set's.
+    """
+    p = texts.percent
+    mixed = stars.groupBy("c").agg(F.min("cid").alias("low"), F.max("cid").alias("high")).where("low < high").select("c")
+    delta = texts.deltas(stars.join(cut_lineage(mixed, "mixed"), "c", "left_semi"))
+    who = ["c", "m", "rep", "cid", "n", "en", "rn"]
+    each = delta.select("c", "m", "rep", "cid", "n", F.size("e").alias("en"), F.size("r").alias("rn"), F.explode(F.concat(
+        F.transform("e", lambda x: F.struct(F.lit(0).alias("lacks"), x.alias("x"))),
+        F.transform("r", lambda x: F.struct(F.lit(1).alias("lacks"), x.alias("x"))))).alias("d")).select(*who, "d.lacks", "d.x")
+    common = each.groupBy("c", "x").agg(F.count("*").alias("df"), F.min("cid").alias("low"), F.max("cid").alias("high")).where(
+        "low < high").select("c", "x", "df")
+    held = each.join(cut_lineage(common, "common"), ["c", "x"]).groupBy(*who, "lacks").agg(
+        F.array_sort(F.collect_set(F.struct("df", "x"))).alias("xs"))  # of one text
+    slack = F.floor(F.col("n") * (100 - p) / p)
+    size = F.when(F.col("lacks") == 0, F.col("en")).otherwise(F.col("rn"))
+    reach = F.when(F.col("lacks") == 0, slack).otherwise(slack - F.col("en"))
+    ranked = held.withColumn("alone", size - F.size("xs")).select(*who, "lacks", "alone", F.posexplode("xs").alias("k", "s"))
+    rows = cut_lineage(ranked.select(*who, "lacks", "s.x", (size - F.col("alone") - F.col("k")).alias("rest"), (F.col("alone") + F.col("k")).alias("at")).where(
+        F.col("at") <= reach).drop("at"), "prefixes")  # rest: how many shingles from this one on
+    other = rows.select("c", "x", *[F.col(n).alias(f"{n}_2") for n in ("m", "rep", "cid", "n", "en", "rn", "rest")])
+    d1, d2 = F.col("en") + F.col("rn"), F.col("en_2") + F.col("rn_2")
+    o = F.ceil(((d1 + d2) * (100 + p) - (100 - p) * (F.col("n") + F.col("n_2"))) / (2 * (100 + p)) - 1e-9)
+    in_e = F.greatest(F.lit(1), o - F.least("rn", "rn_2"))
+    fits = F.when(F.col("lacks") == 0, F.least("rest", "rest_2") >= in_e).otherwise(F.least("rest", "rest_2") >= o)
+    met = rows.join(other, ["c", "x"]).where((F.col("cid") < F.col("cid_2")) & (o <= F.least(d1, d2)) & fits)
+    return met.select(F.col("m").alias("x"), F.col("m_2").alias("y"), F.col("cid").alias("a"), F.col("cid_2").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 5) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) for every row of docs(doc_id, text)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    docs = docs.withColumn("node", F.xxhash64("doc_id", "text"))
     sketch = cut_lineage(docs.mapInArrow(partial(_sketched, words=words), SKETCH), "sketch")
-    classes = cut_lineage(
-        sketch.where("doc_id is not null and n > 0").groupBy("hi", "lo", "n").agg(F.min("doc_id").alias("rep")), "classes")
-    reps = sketch.join(classes, (sketch.doc_id == classes.rep) & (sketch.hi == classes.hi) & (sketch.lo == classes.lo), "left_semi")
-    reps = reps.withColumnRenamed("doc_id", "rep")
-    rows = reps.select("rep", F.explode("bands").alias("key"))
-    centres = cut_lineage(
-        rows.groupBy("key").agg(F.min("rep").alias("centre"), F.max("rep").alias("last")).where("centre < last").select("key", "centre"), "centres")
-    hits = cut_lineage(rows.join(centres, "key"), "hits")
-
-    graph = _Graph(docs, sketch, reps, words, percent)
-    star = hits.where("rep <> centre").groupBy(F.col("centre").alias("a"), F.col("rep").alias("b")).agg(F.count("*").alias("shared"))
-    best = star.groupBy("b").agg(F.max_by("a", F.struct("shared", -F.col("a"))).alias("a"))
-    graph.test(best.select("a", "b"))
-    graph.test(star.select("a", "b"))
-    left, more = hits.where("rep <> centre").select("key", "rep"), 1
-    while True:
-        left = cut_lineage(_unresolved(left, graph.label), "left")
-        if left.isEmpty():
-            break
-        salt = F.pmod(F.xxhash64("rep", F.lit(more)), F.lit(more))
-        chosen = cut_lineage(left.groupBy("key", salt.alias("salt")).agg(F.min("rep").alias("centre")).select("key", "centre"), "chosen")
-        graph.test(left.join(chosen, "key").where("rep <> centre").select(
-            F.least("rep", "centre").alias("a"), F.greatest("rep", "centre").alias("b")).distinct())
-        left = left.join(chosen, (left.key == chosen.key) & (left.rep == chosen.centre), "left_anti")
-        more *= 2
-    return _labelled(sketch, classes, graph.label)
-
-
-def _unresolved(left: DataFrame, label: DataFrame | None) -> DataFrame:
-    """Rows (key, rep) of buckets whose rows lie in more than one component."""
-    if label is None:
-        named = left.withColumn("cid", F.col("rep"))
-    else:
-        named = left.join(label.select(F.col("uid").alias("rep"), "cid"), "rep", "left").withColumn("cid", F.coalesce("cid", "rep"))
-    mixed = named.groupBy("key").agg(F.min("cid").alias("low"), F.max("cid").alias("high")).where("low < high").select("key")
-    return left.join(mixed, "key", "left_semi").select("key", "rep")
-
-
-def _labelled(sketch: DataFrame, classes: DataFrame, label: DataFrame | None) -> DataFrame:
-    if label is not None:
-        classes = classes.join(label.select(F.col("uid").alias("rep"), "cid"), "rep", "left").withColumn("cid", F.coalesce("cid", "rep"))
-    else:
-        classes = classes.withColumn("cid", F.col("rep"))
-    ends = cut_lineage(classes.select("hi", "lo", "cid"), "ends")
+    first = F.min_by(F.struct("doc_id", "node", "bands"), F.struct("doc_id", "node")).alias("f")
+    classes = cut_lineage(sketch.where("doc_id is not null and n > 0").groupBy("hi", "lo", "n").agg(first).select(
+        "hi", "lo", "n", F.col("f.doc_id").alias("rep"), "f.node", "f.bands"), "classes")
+    rows = classes.select("rep", F.explode("bands").alias("key"))  # two numbers a row: these are most of what is shuffled
+    centres = rows.groupBy("key").agg(F.min("rep").alias("crep"), F.max("rep").alias("last")).where("crep < last").select("key", "crep")
+    met = rows.join(cut_lineage(centres, "centres"), "key").where("rep <> crep").select("crep", "rep").distinct()
+    named = classes.select("rep", "node", "n")
+    stars = cut_lineage(met.join(named.withColumnRenamed("node", "m"), "rep").join(
+        named.select(F.col("rep").alias("crep"), F.col("node").alias("c")), "crep").select("c", "crep", "m", "rep", "n"), "stars")
+
+    texts = _Texts(docs, stars.select(F.col("c").alias("node")).union(stars.select(F.col("m").alias("node"))).distinct(), words, percent)
+    label = _joined(texts.confirm(stars.select(F.col("c").alias("x"), F.col("m").alias("y"), F.col("crep").alias("a"), F.col("rep").alias("b"))))
+    placed = cut_lineage(_with_cid(stars, label).select("c", "m", "rep", "cid", "n"), "placed")
+    across = texts.confirm(_missed(placed, texts)).where("a <> b").distinct()
+    if not across.isEmpty():
+        joined = _joined(across).select(F.col("uid").alias("old"), F.col("cid").alias("root"))
+        known = label.union(joined.select(F.col("old").alias("uid"), F.col("old").alias("cid"))).distinct()
+        label = cut_lineage(known.join(joined, F.col("cid") == F.col("old"), "left").groupBy("uid").agg(
+            F.min(F.coalesce("root", "cid")).alias("cid")), "label")
+    ends = cut_lineage(_with_cid(classes.select("hi", "lo", "rep"), label).select("hi", "lo", "cid"), "ends")
     return sketch.select("doc_id", "n", "hi", "lo").join(ends, ["hi", "lo"], "left").select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("cid", "doc_id")).alias("component_id"),
