@@ -150,11 +150,10 @@ def src_poc_header(spark, sf):
 
 
 def day_pages(spark: SparkSession, sf: str, entry) -> DataFrame:
-    """Pages of list entries, one per week of cards."""
-    cards = load(spark, sf, "cards")
-    return cards.groupBy("coll_day", F.pmod(F.xxhash64("uid"), F.lit(8))).agg(
-        F.concat_ws("\n", F.collect_list(entry)).alias("body")).select(
-        F.concat(F.lit("https://list.example/"), F.col("coll_day").cast("string")).alias("url"),
+    """Pages of list entries, fifty cards each at most."""
+    page = F.floor(F.col("k") / 50).alias("page")
+    return load(spark, sf, "cards").groupBy(page).agg(F.concat_ws("\n", F.collect_list(entry)).alias("body")).select(
+        F.concat(F.lit("https://list.example/"), F.col("page").cast("string")).alias("url"),
         F.concat(F.lit("<html><body><ul>"), "body", F.lit("</ul></body></html>")).alias("html"))
 
 
