@@ -70,6 +70,13 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "text", "removed_sentences")
 
 
+@query()
+def op3_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As op3_substring_dedup, with passages of 50 words that hold no two whole sentences."""
+    cleaned = substring_dedup.cleaned(table(spark, sf_dir, "documents").select("doc_id", "text"), passage=substring_dedup.PASSAGE)
+    return cleaned.select("doc_id", "text", "removed_spans")
+
+
 @query()
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")

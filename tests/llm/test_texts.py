@@ -186,6 +186,46 @@ def test_sentences_cover_the_text():
         assert "".join(t[a:b] for a, b in spans) == t
 
 
+def kept_twice(texts, n=50):
+    """Ids of the texts that still hold n words which an earlier place holds."""
+    seen, found = set(), set()
+    for i in sorted(texts):
+        words = re.findall(r"[^ \t\n\v\f\r]+", texts[i].translate(str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})))
+        for k in range(len(words) - n + 1):
+            run = tuple(words[k : k + n])
+            if run in seen:
+                found.add(i)
+            seen.add(run)
+    return found
+
+
+def test_no_passage_of_50_words_stays_twice(spark, small, texts):
+    rule = {r.doc_id: r.text for r in queries.QUERIES["op3_substring_dedup"](spark, small).collect()}
+    out = {r.doc_id: r for r in queries.QUERIES["op3_repeated_passages"](spark, small).collect()}
+    assert kept_twice(rule) and not kept_twice({i: r.text for i, r in out.items()})
+    for i, text in texts.items():
+        spans = [(0, 0), *[(s.start, s.end) for s in out[i].removed_spans], (len(text), len(text))]
+        assert out[i].text == "".join(text[b:a] for (_, b), (a, _) in zip(spans, spans[1:], strict=False))
+        assert len(out[i].text) <= len(rule[i])
+
+
+def test_passages_without_whole_sentences(spark):
+    def says(tag, n):
+        return " ".join(f"{tag}{k}" for k in range(n))
+
+    one, bare = says("long", 60) + ".", says("bare", 200)
+    broken = f"{says('a', 19)}. {says('b', 12)}. {says('c', 19)}"  # one whole sentence between broken ones, 50 words
+    docs = {
+        1: f"First. {one} It goes on.", 2: one, 3: bare, 4: bare, 5: f"Own start {broken} own end.",
+        6: f"Another begin {broken} another finish.", 7: f"{says('x', 30)} {bare} {says('y', 30)}", 8: says("once", 100), 9: says("long", 24),
+    }
+    frame = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    got = {r.doc_id: r.text for r in substring_dedup.cleaned(frame, passage=50).collect()}
+    assert kept_twice(docs) == {2, 4, 6, 7} and not kept_twice(got)
+    assert all(got[i] == docs[i] for i in (1, 3, 5, 8, 9))
+    assert "x29" in got[7] and "y0" in got[7] and got[6].startswith("Another begin") and got[6].endswith("another finish.")
+
+
 # BPE ---------------------------------------------------------------------------------------------------------------
 
 
