@@ -186,8 +186,20 @@ def _missed(stars: DataFrame, texts: _Texts) -> DataFrame:
     return met.select(F.col("m").alias("x"), F.col("m_2").alias("y"), F.col("cid").alias("a"), F.col("cid_2").alias("b")).distinct()
 
 
-def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 5) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row of docs(doc_id, text)."""
+def _shared(sketch: DataFrame, classes: DataFrame) -> DataFrame:
+    """(doc_id, rep, low): the classes of the documents with several texts, by their smallest ids, and the smallest of these."""
+    text = F.struct("hi", "lo", "n")
+    several = sketch.where("doc_id is not null").groupBy("doc_id").agg(F.min(text).alias("one"), F.max(text).alias("other")).where("one <> other")
+    own = sketch.join(cut_lineage(several.select("doc_id"), "several"), "doc_id", "left_semi").join(classes.select("hi", "lo", "rep"), ["hi", "lo"])
+    own = cut_lineage(own.select("doc_id", "rep").distinct(), "own")
+    return own.join(own.groupBy("doc_id").agg(F.min("rep").alias("low")), "doc_id")
+
+
+def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 5, by_id: bool = True) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for every row of docs(doc_id, text).
+
+    Without `by_id`, the texts of one doc_id are not linked by it.
+    """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     docs = docs.withColumn("node", F.xxhash64("doc_id", "text"))
     sketch = cut_lineage(docs.mapInArrow(partial(_sketched, words=words), SKETCH), "sketch")
@@ -202,7 +214,11 @@ def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 5) -> DataF
         named.select(F.col("rep").alias("crep"), F.col("node").alias("c")), "crep").select("c", "crep", "m", "rep", "n"), "stars")
 
     texts = _Texts(docs, stars.select(F.col("c").alias("node")).union(stars.select(F.col("m").alias("node"))).distinct(), words, percent)
-    label = _joined(texts.confirm(stars.select(F.col("c").alias("x"), F.col("m").alias("y"), F.col("crep").alias("a"), F.col("rep").alias("b"))))
+    links = texts.confirm(stars.select(F.col("c").alias("x"), F.col("m").alias("y"), F.col("crep").alias("a"), F.col("rep").alias("b")))
+    shared = cut_lineage(_shared(sketch, classes), "shared") if by_id else None
+    if shared is not None:
+        links = links.union(shared.where("low < rep").select(F.col("low").alias("a"), F.col("rep").alias("b")))
+    label = _joined(links)
     placed = cut_lineage(_with_cid(stars, label).select("c", "m", "rep", "cid", "n"), "placed")
     across = texts.confirm(_missed(placed, texts)).where("a <> b").distinct()
     if not across.isEmpty():
@@ -211,7 +227,11 @@ def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 5) -> DataF
         label = cut_lineage(known.join(joined, F.col("cid") == F.col("old"), "left").groupBy("uid").agg(
             F.min(F.coalesce("root", "cid")).alias("cid")), "label")
     ends = cut_lineage(_with_cid(classes.select("hi", "lo", "rep"), label).select("hi", "lo", "cid"), "ends")
-    return sketch.select("doc_id", "n", "hi", "lo").join(ends, ["hi", "lo"], "left").select(
+    rows = sketch.select("doc_id", "n", "hi", "lo").join(ends, ["hi", "lo"], "left")
+    if shared is not None:  # a blank text goes with its document's others
+        beside = _with_cid(shared.select("doc_id", F.col("low").alias("rep")).distinct(), label).select("doc_id", F.col("cid").alias("own_cid"))
+        rows = rows.join(beside, "doc_id", "left").withColumn("cid", F.coalesce("cid", "own_cid"))
+    return rows.select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("cid", "doc_id")).alias("component_id"),
         F.coalesce(F.coalesce("cid", "doc_id") == F.col("doc_id"), F.lit(True)).alias("kept"),
@@ -223,7 +243,7 @@ def one_of_each(docs: DataFrame, percent: int = 80, words: int = 5) -> DataFrame
 
     Rows without a doc_id stay as they are.
     """
-    kept = near_duplicates(docs, percent, words).where("kept and doc_id is not null").select("doc_id").distinct()
+    kept = near_duplicates(docs, percent, words, by_id=False).where("kept and doc_id is not null").select("doc_id").distinct()
     order = free_name(docs, "copy")
     named = docs.where(F.col("doc_id").isNotNull()).join(kept, "doc_id", "left_semi").withColumn(
         order, F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64(*docs.columns), "text")))

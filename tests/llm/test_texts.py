@@ -128,6 +128,14 @@ def test_near_dedup_cases(spark, ugly):
     assert near_dedup.near_duplicates(ugly.limit(0)).count() == 0
 
 
+def test_texts_of_one_id_are_one_vertex(spark):
+    a, b, c = (" ".join(f"{tag}{k}" for k in range(30)) for tag in "abc")
+    rows = [(1, a), (5, a), (5, b), (2, b), (5, " "), (7, c), (7, c), (9, "")]
+    out = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in out) == [
+        (1, 1, True), (2, 1, False), (5, 1, False), (5, 1, False), (5, 1, False), (7, 7, True), (7, 7, True), (9, 9, True)]
+
+
 def test_signature_of_few_shingles_fills_all_bins():
     for n in (1, 2, 7, 500):
         s = np.unique(np.random.default_rng(n).integers(0, 1 << 63, n).astype(np.uint64) * np.uint64(2))
