@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseloom.llm import bpe, kd_search, learned_ann, mixing, near_dedup, quality, substring_dedup, token_counts, url_filter, warc_fixity
+from caseloom.llm import bpe, kd_search, learned_ann, mixing, near_dedup, packing, quality, substring_dedup, token_counts, url_filter, warc_fixity
 from caseloom.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -159,3 +159,9 @@ def op10_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     rotten = pages.withColumn("html", F.when(F.expr(DAMAGED), F.translate("html", "e", "x")).otherwise(F.col("html")))
     replica = warc_fixity.archived(rotten).where(~F.coalesce(F.expr(LOST), F.lit(False)))
     return warc_fixity.audit(warc_fixity.archived(pages), replica)
+
+
+@query()
+def op11_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.digests(packing.packed(docs, tokenizer_file("byte_bpe_50k.json")))
