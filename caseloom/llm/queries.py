@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseloom.llm import bpe, kd_search, learned_ann, mixing, near_dedup, packing, quality, substring_dedup, token_counts, url_filter, warc_fixity
+from caseloom.llm import (
+    bpe, kd_search, learned_ann, lexical, mixing, near_dedup, packing, quality, substring_dedup, token_counts, url_filter, warc_fixity)
 from caseloom.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -165,3 +166,25 @@ def op10_warc_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return packing.digests(packing.packed(docs, tokenizer_file("byte_bpe_50k.json")))
+
+
+LEXICAL_TERMS = (r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+                 r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
+
+
+@query(f"""
+with d as (select row_number() over () as node, doc_id, {LEXICAL_TERMS} as ts from documents where text is not null),
+h as (select node, doc_id, len(ts) as n, ts from d where len(ts) > 0),
+s as (select count(*)::bigint as docs, sum(n)::bigint as length from h),
+i as (select row_number() over () as q, item_id, {LEXICAL_TERMS} as ts from (select distinct item_id, text from benchmark where text is not null)),
+a as (select q, t, count(*) as times from (select q, unnest(ts) as t from i) group by q, t),
+f as (select node, t, count(*)::bigint as tf from (select node, unnest(ts) as t from h) where t in (select t from a) group by node, t),
+w as (select t, floor(1000 * ln((2 * docs + 2)::double / (2 * count(*) + 1)::double))::bigint as w from f, s group by t, docs),
+e as (select a.q, f.node, sum(a.times * w.w * ((1000000000 * f.tf) // (1000 * f.tf + 8 * (25 + (75 * h.n * s.docs) // s.length))))::bigint as score
+  from a join f on f.t = a.t join w on w.t = a.t join h on h.node = f.node, s group by a.q, f.node),
+r as (select i.item_id, row_number() over (partition by e.q order by e.score desc, h.doc_id)::integer as rank, h.doc_id, e.score
+  from e join h on h.node = e.node join i on i.q = e.q where e.score > 0 and h.doc_id is not null)
+select item_id, rank, doc_id, score from r where rank <= 10
+""")
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
