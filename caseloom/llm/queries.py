@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseloom.llm import (
-    bpe, kd_search, learned_ann, lexical, mixing, near_dedup, packing, quality, substring_dedup, token_counts, url_filter, warc_fixity)
+    bpe, collocations, kd_search, learned_ann, lexical, mixing, near_dedup, packing, quality, substring_dedup, token_counts, url_filter, warc_fixity)
 from caseloom.llm.frames import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -168,6 +168,30 @@ def op11_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digests(packing.packed(docs, tokenizer_file("byte_bpe_50k.json")))
 
 
+@query(r"""
+with t as (select coalesce(lang, 'und') as lang, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as x from documents),
+p as (select lang, unnest(regexp_extract_all(x, '[^.,;:!?\x0A-\x0D]+')) as piece from t),
+w as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as ws from p),
+g as (select lang, k, unnest(list_transform(generate_series(1, len(ws) - k + 1), lambda i: ws[i:i + k - 1])) as phrase
+  from w, (values (1), (2), (3)) as s(k) where len(ws) >= k),
+f as (select lang, k, phrase, count(*)::hugeint as f from g group by all),
+n as (select lang, sum(f)::bigint as n from f where k = 1 group by lang),
+c as (select * from f where k > 1 and f >= 10),
+s as (select c.lang, c.k, c.phrase, c.f as a, x.f as l, y.f as r, cut, (1000000 * c.f * c.f) // (x.f * y.f) as score
+  from c, (values (1), (2)) as z(cut), f x, f y
+  where cut < c.k and x.lang = c.lang and x.phrase = c.phrase[1:cut] and y.lang = c.lang and y.phrase = c.phrase[cut + 1:c.k]),
+b as (select *, row_number() over (partition by lang, phrase order by score, cut) as nth from s),
+i as (select lang, part, max(f) as longer from (select lang, f, unnest([phrase[1:2], phrase[2:3]]) as part from c where k = 3) group by all),
+o as (select b.lang, array_to_string(b.phrase, ' ') as phrase, a, l, r, score from b left join i on i.lang = b.lang and i.part = b.phrase
+  where nth = 1 and (i.longer is null or 100 * i.longer < 50 * a)),
+r as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from o)
+select r.lang, rank, phrase, a::bigint as a, l::bigint as l, r.r::bigint as r, n.n, score::bigint as score
+from r join n on n.lang = r.lang where rank <= 2000
+""")
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
 LEXICAL_TERMS = (r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
                  r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
 
