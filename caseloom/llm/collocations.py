@@ -150,18 +150,25 @@ def _triples(batches: Iterator[pa.RecordBatch], shared, pair: Grams, grams: Gram
         yield batch_of(part + made)
 
 
-def _merged_blocks(blocks: pa.Table, grams: Grams, before: int, after: int) -> pa.Table:
-    rows = blocks.to_pylist()
-    return pa.Table.from_arrays(_block_columns(grams.blocks(*grams.merged(rows, before), after, rows[0]["grp"])), schema=_BLOCK)
+def _merging(grams: Grams, before: int, after: int):
+    """Merge of the blocks of one prefix, into blocks of longer prefixes."""
+    def run(blocks: pa.Table) -> pa.Table:
+        rows = blocks.to_pylist()
+        return pa.Table.from_arrays(_block_columns(grams.blocks(*grams.merged(rows, before), after, rows[0]["grp"])), schema=_BLOCK)
 
+    return run
 
-def _frequent(blocks: pa.Table, grams: Grams, prefix_bits: int, least: int) -> pa.Table:
-    """The n-grams of a prefix that reach `least`, as ids."""
-    hi, lo, n = grams.merged(blocks.to_pylist(), prefix_bits)
-    enough = n >= least
-    hi, lo = hi[enough], lo[enough]
-    ids = {f"w{i}": pa.array(w.astype(np.int64)) for i, w in enumerate(grams.ids(hi, lo), 1)}
-    return pa.table(ids | {"f": pa.array(n[enough]), "mark": pa.array(marks(hi, lo, grams.half, BITMAP_BITS))})
+
+def _frequent(grams: Grams, prefix_bits: int, least: int):
+    """Merge of the blocks of one prefix, into the ids of the n-grams that reach `least`."""
+    def run(blocks: pa.Table) -> pa.Table:
+        hi, lo, n = grams.merged(blocks.to_pylist(), prefix_bits)
+        enough = n >= least
+        hi, lo = hi[enough], lo[enough]
+        ids = {f"w{i}": pa.array(w.astype(np.int64)) for i, w in enumerate(grams.ids(hi, lo), 1)}
+        return pa.table(ids | {"f": pa.array(n[enough]), "mark": pa.array(marks(hi, lo, grams.half, BITMAP_BITS))})
+
+    return run
 
 
 def _prefix_bits(rows: int, grams: Grams, merge_keys: int) -> int:
@@ -174,16 +181,17 @@ def _merged(blocks: DataFrame, grams: Grams, first: int, last: int, least: int,
     while done < last:
         after = min(last, done + fan_bits)
         near = blocks.withColumn("grp", F.floor(F.col("grp") / FAN_SHARDS)).groupBy("prefix", "grp")
-        blocks = cut_lineage(near.applyInArrow(partial(_merged_blocks, grams=grams, before=done, after=after), BLOCK), "blocks")
+        blocks = cut_lineage(near.applyInArrow(_merging(grams, done, after), BLOCK), "blocks")
         done = after
     schema = ", ".join(f"w{i} long" for i in range(1, grams.k + 1)) + ", f long, mark long"
-    return cut_lineage(blocks.groupBy("prefix").applyInArrow(partial(_frequent, grams=grams, prefix_bits=done, least=least), schema), "grams")
+    return cut_lineage(blocks.groupBy("prefix").applyInArrow(_frequent(grams, done, least), schema), "grams")
 
 
 def _bitmap(pairs: DataFrame) -> bytes:
     """The marks of all pairs: at most 2^BITMAP_BITS bits, whatever the pairs."""
     out = np.zeros(1 << (BITMAP_BITS - 3), np.uint8)
-    rows = pairs.groupBy(F.bitmap_bucket_number("mark").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("mark")).alias("bits"))
+    place = F.col("mark") + 1  # these functions count from 1
+    rows = pairs.groupBy(F.bitmap_bucket_number(place).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
     for r in rows.collect():
         bits = np.frombuffer(r["bits"], np.uint8)
         out[(r["bucket"] - 1) * 4096 : (r["bucket"] - 1) * 4096 + len(bits)] = bits

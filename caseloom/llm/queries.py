@@ -171,20 +171,25 @@ def op11_harmonic_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(r"""
 with t as (select coalesce(lang, 'und') as lang, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as x from documents),
 p as (select lang, unnest(regexp_extract_all(x, '[^.,;:!?\x0A-\x0D]+')) as piece from t),
-w as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as ws from p),
-g as (select lang, k, unnest(list_transform(generate_series(1, len(ws) - k + 1), lambda i: ws[i:i + k - 1])) as phrase
-  from w, (values (1), (2), (3)) as s(k) where len(ws) >= k),
-f as (select lang, k, phrase, count(*)::hugeint as f from g group by all),
-n as (select lang, sum(f)::bigint as n from f where k = 1 group by lang),
-c as (select * from f where k > 1 and f >= 10),
-s as (select c.lang, c.k, c.phrase, c.f as a, x.f as l, y.f as r, cut, (1000000 * c.f * c.f) // (x.f * y.f) as score
-  from c, (values (1), (2)) as z(cut), f x, f y
-  where cut < c.k and x.lang = c.lang and x.phrase = c.phrase[1:cut] and y.lang = c.lang and y.phrase = c.phrase[cut + 1:c.k]),
+w as (select row_number() over () as id, lang, regexp_extract_all(piece, '[^\x20\x09]+') as ws from p),
+u as (select id, lang, unnest(ws) as w1, generate_subscripts(ws, 1) as i from w),
+g as (select lang, w1, lead(w1) over piece as w2, lead(w1, 2) over piece as w3 from u window piece as (partition by id order by i)),
+f1 as (select lang, w1, count(*)::hugeint as f from g group by all),
+f2 as (select lang, w1, w2, count(*)::hugeint as f from g where w2 is not null group by all having count(*) >= 10),
+f3 as (select lang, w1, w2, w3, count(*)::hugeint as f from g where w3 is not null group by all having count(*) >= 10),
+n as (select lang, sum(f)::bigint as n from f1 group by lang),
+s as (select c.lang, w1 || ' ' || c.w2 as phrase, c.f as a, x.f as l, y.f as r, 1 as cut, (1000000 * c.f * c.f) // (x.f * y.f) as score,
+    (select max(f) from f3 where f3.lang = c.lang and (f3.w1 = c.w1 and f3.w2 = c.w2 or f3.w2 = c.w1 and f3.w3 = c.w2)) as longer
+  from f2 c join f1 x using (lang, w1) join (select lang, w1 as w2, f from f1) y using (lang, w2)
+  union all
+  select c.lang, c.w1 || ' ' || c.w2 || ' ' || c.w3, c.f, x.f, y.f, 1, (1000000 * c.f * c.f) // (x.f * y.f), null
+  from f3 c join f1 x on x.lang = c.lang and x.w1 = c.w1 join f2 y on y.lang = c.lang and y.w1 = c.w2 and y.w2 = c.w3
+  union all
+  select c.lang, c.w1 || ' ' || c.w2 || ' ' || c.w3, c.f, x.f, y.f, 2, (1000000 * c.f * c.f) // (x.f * y.f), null
+  from f3 c join f2 x on x.lang = c.lang and x.w1 = c.w1 and x.w2 = c.w2 join f1 y on y.lang = c.lang and y.w1 = c.w3),
 b as (select *, row_number() over (partition by lang, phrase order by score, cut) as nth from s),
-i as (select lang, part, max(f) as longer from (select lang, f, unnest([phrase[1:2], phrase[2:3]]) as part from c where k = 3) group by all),
-o as (select b.lang, array_to_string(b.phrase, ' ') as phrase, a, l, r, score from b left join i on i.lang = b.lang and i.part = b.phrase
-  where nth = 1 and (i.longer is null or 100 * i.longer < 50 * a)),
-r as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from o)
+r as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from b
+  where nth = 1 and (longer is null or 100 * longer < 50 * a))
 select r.lang, rank, phrase, a::bigint as a, l::bigint as l, r.r::bigint as r, n.n, score::bigint as score
 from r join n on n.lang = r.lang where rank <= 2000
 """)
