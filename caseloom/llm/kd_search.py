@@ -78,13 +78,11 @@ class Tree:
             a, b = self.span[node]
             scores = self.points[a:b] @ query
             near = np.flatnonzero(scores >= kth) if kth is not None else np.arange(b - a)
+            near = near[self.vec_id[a + near] != query_id]
             if len(near) > 4 * k:  # many at once: only the best k of them by score and id can count
-                near = near[np.lexsort((self.vec_id[a + near], -scores[near]))[: k + 1]]
+                near = near[np.lexsort((self.vec_id[a + near], -scores[near]))[:k]]
             for i in near:
-                vec = int(self.vec_id[a + i])
-                if vec == query_id:
-                    continue
-                item = (scores[i], -vec)
+                item = (scores[i], -int(self.vec_id[a + i]))
                 if len(top) < k:
                     heapq.heappush(top, item)
                 elif item > top[0]:
@@ -143,7 +141,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 10, scale: int = 1024, shard_ro
     v = usable(vectors).withColumn("is_query", F.expr(is_query) if isinstance(is_query, str) else is_query)
     sizes = v.agg(F.count("*").alias("n"), F.count_if("is_query").alias("q")).first()
     shards, blocks = max(1, -(-sizes["n"] // shard_rows)), max(1, -(-sizes["q"] // block_rows))
-    v = v.withColumn("shard", F.pmod(F.xxhash64("vec_id"), F.lit(shards)).cast("int"))
+    v = v.withColumn("shard", F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(shards)).cast("int"))
     home = cut_lineage(v.groupBy("dim", "shard").applyInArrow(_home(scale, k), FOUND), "home")
     if shards == 1:
         return ranked(home, k, "high")

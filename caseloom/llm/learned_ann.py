@@ -213,7 +213,7 @@ def _nearest(v: DataFrame, is_query, k, sample, partitions, probes, mass, cell_r
     def number(counts: np.ndarray):
         return F.array(*[F.lit(int(c)) for c in counts])[F.col("part")]
 
-    dealt = placed.withColumn("cell", F.pmod(F.xxhash64("vec_id"), number(cells)).cast("int")).withColumn(
+    dealt = placed.withColumn("cell", F.pmod(F.xxhash64("vec_id", "embedding"), number(cells)).cast("int")).withColumn(
         "block", F.explode(F.sequence(F.lit(0), number(blocks) - 1)))
     asked = asked.withColumn("block", F.pmod(F.xxhash64("vec_id", F.lit(1)), number(blocks)).cast("int")).withColumn(
         "cell", F.explode(F.sequence(F.lit(0), number(cells) - 1)))

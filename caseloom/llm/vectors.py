@@ -11,17 +11,17 @@ from caseloom.session import cut_lineage
 
 
 def usable(vectors: DataFrame, zero: bool = True) -> DataFrame:
-    """(vec_id, dim, embedding array<double>): one row an id, the smallest vector where an id is repeated.
+    """(vec_id, dim, embedding array<double>) of every row that takes part.
 
     Null ids and vectors that are null, empty or hold null or non-finite components are left out; zero vectors too
-    unless `zero`.
+    unless `zero`. Rows that share an id all count: each is a candidate of other ids' queries, and where they are
+    queries the id gets the best that any of them finds.
     """
     v = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
     bad = F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     v = v.where(F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & (F.size("embedding") > 0) & ~bad)
     if not zero:
         v = v.where(F.exists("embedding", lambda x: x != 0))
-    v = v.groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
     return cut_lineage(v.select("vec_id", F.size("embedding").alias("dim"), "embedding"), "vectors")
 
 

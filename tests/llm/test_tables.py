@@ -185,6 +185,18 @@ def test_vector_cases(spark):
     assert learned_ann.nearest(frame.limit(0), F.lit(True)).count() == 0
 
 
+def test_every_row_of_a_repeated_id_is_searched(spark):
+    rows = [(0, [1.0, 0.0]), (7, [9.0, 0.0]), (7, [0.0, 1.0]), (8, [2.0, 0.0]), (0, [0.0, 3.0])] + [(0, [50.0, 50.0])] * 300
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    top = answers(kd_search.top_k(frame.limit(4), F.col("vec_id") == 0, k=2))
+    assert top[0] == [(7, 9 * 1024**2), (8, 2 * 1024**2)]
+    assert answers(kd_search.top_k(frame, F.col("vec_id") == 8))[8] == [(0, 100 * 1024**2)] * 10
+    both = answers(kd_search.top_k(frame, F.col("vec_id") == 7, k=302))[7]
+    assert [i for i, _ in both] == [0] * 302
+    near = answers(learned_ann.nearest(frame.limit(4), F.col("vec_id") == 0, k=3))
+    assert near[0] == [(8, 1.0), (7, math.sqrt(2)), (7, 8.0)]
+
+
 def test_top_k_of_large_components_is_exact(spark):
     big = [(0, [3e12, 1.0]), (1, [2.0, 1.0]), (2, [2.0, 1.001]), (3, [-2.0, 5.0])]
     got = answers(kd_search.top_k(spark.createDataFrame(big, "vec_id long, embedding array<double>"), F.col("vec_id") == 0, k=2))
