@@ -18,7 +18,6 @@ import hashlib
 import heapq
 import json
 import mmap
-import os
 import tempfile
 from collections import Counter
 from collections.abc import Iterator
@@ -55,8 +54,9 @@ class Merges:
     """Vocabulary and merges of a tokenizer file; merges words exactly."""
 
     def __init__(self, path: str):
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
+        with open(path, "rb") as f:
+            raw = f.read()
+        self.digest, spec = hashlib.sha256(raw).digest(), json.loads(raw)
         letters = byte_letters()
         raw = {piece: i for piece, i in spec["model"]["vocab"].items()}
         self.pieces: list[bytes] = [b""] * (1 + max([*raw.values(), *(t["id"] for t in spec["added_tokens"])]))
@@ -266,7 +266,7 @@ def encoder(docs: DataFrame, path: str, n: int = LEXICON):
     flat, sizes = merges.merge_all(words)
     lexicon = compile_words(words)
     at = np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
-    key = hashlib.sha256(lexicon + os.path.basename(path).encode()).hexdigest()
+    key = hashlib.sha256(merges.digest + lexicon).hexdigest()
     return docs.sparkSession.sparkContext.broadcast({"key": key, "merges": merges, "lexicon": lexicon, "at": at, "ids": flat})
 
 
