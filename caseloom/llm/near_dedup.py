@@ -11,8 +11,8 @@ over E and R, rarest first, finds them: shingles that no other component's membe
 copies edited apart fall out without ever being paired, and no link is lost. What is found is confirmed on full sets.
 
 Defined cases. Null or blank text: `n_shingles` 0, linked with nothing. Null doc_id: no vertex; `component_id` null,
-kept. Rows that share a doc_id are one vertex, linked by any of its texts. An empty table gives an empty result. Other
-columns are not read.
+kept. Rows that share a doc_id are one vertex, linked by any of its texts; in the pipeline's form, which decides by row,
+each text stands for itself. An empty table gives an empty result. Other columns are not read.
 """
 
 from __future__ import annotations
@@ -195,17 +195,23 @@ def _shared(sketch: DataFrame, classes: DataFrame) -> DataFrame:
     return own.join(own.groupBy("doc_id").agg(F.min("rep").alias("low")), "doc_id")
 
 
-def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 5, by_id: bool = True) -> DataFrame:
-    """(doc_id, n_shingles, component_id, kept) for every row of docs(doc_id, text).
+class _Classes:
+    """The texts of docs(doc_id, text) with a sketch each, and one row for each class of equal shingle sets."""
 
-    Without `by_id`, the texts of one doc_id are not linked by it.
-    """
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    docs = docs.withColumn("node", F.xxhash64("doc_id", "text"))
-    sketch = cut_lineage(docs.mapInArrow(partial(_sketched, words=words), SKETCH), "sketch")
-    first = F.min_by(F.struct("doc_id", "node", "bands"), F.struct("doc_id", "node")).alias("f")
-    classes = cut_lineage(sketch.where("doc_id is not null and n > 0").groupBy("hi", "lo", "n").agg(first).select(
-        "hi", "lo", "n", F.col("f.doc_id").alias("rep"), "f.node", "f.bands"), "classes")
+    def __init__(self, docs: DataFrame, words: int, by_id: bool):
+        docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+        self.docs = docs.withColumn("node", F.xxhash64("doc_id", "text"))
+        self.sketch = cut_lineage(self.docs.mapInArrow(partial(_sketched, words=words), SKETCH), "sketch")
+        first = F.min_by(F.struct("doc_id", "node", "bands"), F.struct("doc_id", "node")).alias("f")
+        one = self.sketch.where("doc_id is not null and n > 0").groupBy("hi", "lo", "n").agg(first)
+        # named by their smallest doc_id, or, where one id's texts are apart, by a number of their own
+        rep = F.col("f.doc_id") if by_id else F.monotonically_increasing_id()
+        self.rows = cut_lineage(one.select("hi", "lo", "n", rep.alias("rep"), "f.node", "f.bands"), "classes")
+
+
+def _labelled(held: _Classes, percent: int, words: int, shared: DataFrame | None = None) -> DataFrame:
+    """(uid, cid): the component of each class that is linked with another."""
+    classes = held.rows
     rows = classes.select("rep", F.explode("bands").alias("key"))  # two numbers a row: these are most of what is shuffled
     centres = rows.groupBy("key").agg(F.min("rep").alias("crep"), F.max("rep").alias("last")).where("crep < last").select("key", "crep")
     met = rows.join(cut_lineage(centres, "centres"), "key").where("rep <> crep").select("crep", "rep").distinct()
@@ -213,9 +219,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 5, by_id: b
     stars = cut_lineage(met.join(named.withColumnRenamed("node", "m"), "rep").join(
         named.select(F.col("rep").alias("crep"), F.col("node").alias("c")), "crep").select("c", "crep", "m", "rep", "n"), "stars")
 
-    texts = _Texts(docs, stars.select(F.col("c").alias("node")).union(stars.select(F.col("m").alias("node"))).distinct(), words, percent)
+    texts = _Texts(held.docs, stars.select(F.col("c").alias("node")).union(stars.select(F.col("m").alias("node"))).distinct(), words, percent)
     links = texts.confirm(stars.select(F.col("c").alias("x"), F.col("m").alias("y"), F.col("crep").alias("a"), F.col("rep").alias("b")))
-    shared = cut_lineage(_shared(sketch, classes), "shared") if by_id else None
     if shared is not None:
         links = links.union(shared.where("low < rep").select(F.col("low").alias("a"), F.col("rep").alias("b")))
     label = _joined(links)
@@ -226,11 +231,20 @@ def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 5, by_id: b
         known = label.union(joined.select(F.col("old").alias("uid"), F.col("old").alias("cid"))).distinct()
         label = cut_lineage(known.join(joined, F.col("cid") == F.col("old"), "left").groupBy("uid").agg(
             F.min(F.coalesce("root", "cid")).alias("cid")), "label")
+    return label
+
+
+def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 5) -> DataFrame:
+    """(doc_id, n_shingles, component_id, kept) for every row of docs(doc_id, text)."""
+    held = _Classes(docs, words, by_id=True)
+    sketch, classes = held.sketch, held.rows
+    shared = cut_lineage(_shared(sketch, classes), "shared")
+    label = _labelled(held, percent, words, shared)
     ends = cut_lineage(_with_cid(classes.select("hi", "lo", "rep"), label).select("hi", "lo", "cid"), "ends")
     rows = sketch.select("doc_id", "n", "hi", "lo").join(ends, ["hi", "lo"], "left")
-    if shared is not None:  # a blank text goes with its document's others
-        beside = _with_cid(shared.select("doc_id", F.col("low").alias("rep")).distinct(), label).select("doc_id", F.col("cid").alias("own_cid"))
-        rows = rows.join(beside, "doc_id", "left").withColumn("cid", F.coalesce("cid", "own_cid"))
+    # a blank text goes with its document's others
+    beside = _with_cid(shared.select("doc_id", F.col("low").alias("rep")).distinct(), label).select("doc_id", F.col("cid").alias("own_cid"))
+    rows = rows.join(beside, "doc_id", "left").withColumn("cid", F.coalesce("cid", "own_cid"))
     return rows.select(
         "doc_id", F.col("n").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("cid", "doc_id")).alias("component_id"),
@@ -239,12 +253,20 @@ def near_duplicates(docs: DataFrame, percent: int = 80, words: int = 5, by_id: b
 
 
 def one_of_each(docs: DataFrame, percent: int = 80, words: int = 5) -> DataFrame:
-    """Pipeline form: rows of docs with one document of each group; repeated rows of it count as copies too.
+    """Pipeline form: rows of docs with one row of each group of similar texts, the smallest doc_id's.
 
-    Rows without a doc_id stay as they are.
+    Rows are told apart by id and text, so of an id with several texts each stays or goes by itself; equal rows are
+    copies too. Rows without a doc_id and blank texts stay, the latter once an id and text.
     """
-    kept = near_duplicates(docs, percent, words, by_id=False).where("kept and doc_id is not null").select("doc_id").distinct()
-    order = free_name(docs, "copy")
-    named = docs.where(F.col("doc_id").isNotNull()).join(kept, "doc_id", "left_semi").withColumn(
-        order, F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64(*docs.columns), "text")))
+    held = _Classes(docs, words, by_id=False)
+    ends = _with_cid(held.rows.select("hi", "lo", "rep"), _labelled(held, percent, words)).select("hi", "lo", "cid")
+    rows = held.sketch.where("doc_id is not null").select("doc_id", "node", "n", "hi", "lo")
+    solid = rows.where("n > 0").join(cut_lineage(ends, "ends"), ["hi", "lo"]).groupBy("cid").agg(F.min(F.struct("doc_id", "node")).alias("f"))
+    kept = solid.select("f.*").union(rows.where("n = 0").select("doc_id", "node").distinct())
+    order, node, ident = free_name(docs, "copy"), free_name(docs, "node"), free_name(docs, "ident")
+    kept = cut_lineage(kept.select(F.col("doc_id").alias(ident), F.col("node").alias(node)), "kept")
+    named = docs.where(F.col("doc_id").isNotNull()).withColumns(
+        {ident: F.col("doc_id").cast("long"), node: F.xxhash64(F.col("doc_id").cast("long"), F.col("text").cast("string"))})
+    named = named.join(kept, [ident, node], "left_semi").withColumn(
+        order, F.row_number().over(Window.partitionBy(ident, node).orderBy(F.xxhash64(*docs.columns))))
     return named.where(F.col(order) == 1).select(docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))

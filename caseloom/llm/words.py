@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -96,20 +97,37 @@ class Words:
         return salted(h[inside], salt + n), np.concatenate(([0], np.cumsum(np.maximum(count - n + 1, 0))))
 
 
+class WordHashes(dict):
+    """BLAKE2 hashes of words by their bytes, of the recent ones: no two words are made to collide by their spelling."""
+
+    def __init__(self, most: int = 1 << 25):
+        self.size, self.most = 0, most
+
+    def __missing__(self, word: bytes) -> int:
+        if self.size > self.most:
+            self.clear()
+            self.size = 0
+        h = int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little")
+        if len(word) <= 64:
+            self.size += len(word) + 120
+            self[word] = h
+        return h
+
+
+_HASHES = WordHashes()
+
+
 def shingle_sets(column: pa.Array, n: int) -> Iterator[np.ndarray]:
     """Sorted distinct n-word shingles of each text; the whole sequence as one when it has fewer words; none without."""
-    for _, _, buf, at in chunks(column):
-        words = Words(buf, at)
-        h, first = words.runs(words.hash, n)
-        for k in range(len(at) - 1):
-            if first[k + 1] > first[k]:
-                yield np.unique(h[first[k] : first[k + 1]])
-            elif words.first[k + 1] > words.first[k]:
-                few = words.hash[words.first[k] : words.first[k + 1]]
-                whole = np.uint64(0)
-                with np.errstate(over="ignore"):
-                    for w in few:
-                        whole = whole * _BASE + w
-                yield salted(np.array([whole], np.uint64), len(few))
-            else:
+    for text in (column.chunks if isinstance(column, pa.ChunkedArray) else [column]):
+        for value in text:
+            found = (value.as_py() or "").encode().lower().split()  # bytes: only A-Z changes, blanks are the ASCII ones
+            if not found:
                 yield np.zeros(0, np.uint64)
+                continue
+            hashes = np.fromiter(map(_HASHES.__getitem__, found), np.uint64, len(found))
+            size = min(n, len(hashes))
+            runs = np.zeros(len(hashes) - size + 1, np.uint64)
+            for k in range(size):
+                runs = mix(runs * _BASE + hashes[k : k + len(runs)])
+            yield np.unique(salted(runs, size))

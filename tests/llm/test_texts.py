@@ -136,6 +136,21 @@ def test_texts_of_one_id_are_one_vertex(spark):
         (1, 1, True), (2, 1, False), (5, 1, False), (5, 1, False), (5, 1, False), (7, 7, True), (7, 7, True), (9, 9, True)]
 
 
+def test_one_of_each_decides_by_row(spark):
+    a, b, c = (" ".join(f"{tag}{k}" for k in range(30)) for tag in "abc")
+    rows = [(1, a, "u"), (5, a, "u"), (5, b, "v"), (9, c, "w"), (9, b + " x", "w"), (9, c, "w"), (4, "", "z"), (4, "", "z"), (4, " ", "z")]
+    out = near_dedup.one_of_each(spark.createDataFrame(rows, "doc_id long, text string, node string"))
+    assert sorted(out.collect()) == [(1, a, "u"), (4, "", "z"), (4, " ", "z"), (5, b, "v"), (9, c, "w")]
+
+
+def test_words_that_collide_in_a_polynomial_hash_stay_apart(spark):
+    """Two words of 4,096 letters, one the other's twin: equal under any odd base modulo 2^64."""
+    word = "".join("ab"[bin(i).count("1") % 2] for i in range(4096))
+    twin = word.translate(str.maketrans("ab", "ba"))
+    out = near_dedup.near_duplicates(spark.createDataFrame([(1, word), (2, twin), (3, f"{word} x y z v")], "doc_id long, text string")).collect()
+    assert sorted((r.doc_id, r.component_id, r.kept) for r in out) == [(1, 1, True), (2, 2, True), (3, 3, True)]
+
+
 def test_signature_of_few_shingles_fills_all_bins():
     for n in (1, 2, 7, 500):
         s = np.unique(np.random.default_rng(n).integers(0, 1 << 63, n).astype(np.uint64) * np.uint64(2))
@@ -258,6 +273,20 @@ def test_bpe_cases(spark, ugly):
     assert bpe.encoded(ugly.limit(0), BPE_FILE).count() == 0
 
 
+def test_files_of_one_name_are_told_apart(spark, tmp_path):
+    import json
+
+    spec = json.loads(open(BPE_FILE, encoding="utf-8").read())
+    docs = spark.createDataFrame([(1, "unseen qzx words here")], "doc_id long, text string")
+    for folder, keep in (("a", len(spec["model"]["merges"])), ("b", 40)):
+        (tmp_path / folder).mkdir()
+        path = tmp_path / folder / "file.json"
+        spec["model"]["merges"] = spec["model"]["merges"][:keep]
+        path.write_text(json.dumps(spec), encoding="utf-8")
+        row = bpe.encoded(docs, str(path)).first()
+        assert row["ids"] == Tokenizer.from_file(str(path)).encode("unseen qzx words here", add_special_tokens=False).ids
+
+
 def test_bpe_merges_words_of_any_length():
     merges, tok = bpe.Merges(BPE_FILE), Tokenizer.from_file(BPE_FILE)
     for word in ("ab" * 700, "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa", "thethethe" * 9, "é" * 60, "x"):
