@@ -29,7 +29,7 @@ from caseloom.operators.ranking import numbered
 from caseloom.session import cut_lineage
 
 LEAST, TOP, INSIDE = 10, 2000, 50
-SHARD_BYTES = 1 << 25
+SHARD_BYTES = 1 << 24  # of words, at 8 bytes each
 MERGE_KEYS = 1 << 19  # n-grams that a merge reads, about
 FAN_BITS, FAN_SHARDS = 10, 256  # a round of merges splits a prefix by so many bits and joins so many shards' blocks
 BITMAP_BITS = 27  # 16 MB, whatever the data
@@ -109,17 +109,18 @@ def _pairs(seqs: pa.Table, known: pa.Table, grams: Grams, prefix_bits: int) -> p
         return _COUNTED.empty_table()
     local = known["id"].to_numpy()
     chunks = [np.asarray(s.values.to_numpy()) for s in seqs["seq"]]
-    gid = np.zeros(1 + max([int(local.max()), *(int(c.max(initial=0)) for c in chunks)]), np.int64)
+    gid = np.zeros(1 + max([int(local.max()), *(int(c.max(initial=0)) for c in chunks)]), np.uint32)
     gid[local] = known["gid"].to_numpy() + 1
     out, pairs = [], []
     for c in chunks:
         x = gid[c]
-        x = x[(x > 0) | (np.append(x[1:], 0) > 0)]  # one break between words stays
-        out.append(x)
+        x = x[(x > 0) | (np.append(x[1:], np.uint32(0)) > 0)]  # one break between words stays
+        out.append(x.view(np.int32))
         both = (x[:-1] > 0) & (x[1:] > 0)
         pairs.append((x[:-1][both] - 1, x[1:][both] - 1))
-    grp = seqs["shard"][0].as_py()
-    blocks = _sorted_blocks(grams, [np.concatenate(p) for p in zip(*pairs, strict=True)], prefix_bits, grp)
+    grp, ids = seqs["shard"][0].as_py(), [np.concatenate(p) for p in zip(*pairs, strict=True)]
+    pairs.clear()
+    blocks = _sorted_blocks(grams, ids, prefix_bits, grp)
     first = pa.Table.from_arrays([_ints(out), *(pa.nulls(len(out), t) for t in _BLOCK.types)], schema=_COUNTED)
     second = pa.Table.from_arrays([pa.nulls(len(blocks), _COUNTED.types[0]), *_block_columns(blocks)], schema=_COUNTED)
     return pa.concat_tables([first, second])
@@ -137,7 +138,7 @@ def _triples(batches: Iterator[pa.RecordBatch], shared, pair: Grams, grams: Gram
 
     for batch in batches:
         for s in batch.column("seq"):
-            x = s.values.to_numpy().astype(np.int64)
+            x = s.values.to_numpy().view(np.uint32)
             at = np.flatnonzero((x[:-1] > 0) & (x[1:] > 0))
             place = marks(*pair.permuted([x[at] - 1, x[at + 1] - 1]), pair.half, BITMAP_BITS)
             at = at[(bitmap[place >> 3] >> (place & 7).astype(np.uint8)) & 1 > 0]
@@ -224,7 +225,7 @@ def counted(docs: DataFrame, least: int = LEAST, shard_bytes: int = SHARD_BYTES,
     last = _prefix_bits(n_rows, triple, merge_keys)
     first = min(last, fan_bits)
     seqs = held.where("seq is not null").select("seq")
-    blocks = cut_lineage(seqs.mapInArrow(partial(_triples, shared=shared, pair=pair, grams=triple, prefix_bits=first, most=shard_bytes // 8), BLOCK), "triples")
+    blocks = cut_lineage(seqs.mapInArrow(partial(_triples, shared=shared, pair=pair, grams=triple, prefix_bits=first, most=shard_bytes // 16), BLOCK), "triples")
     triples = _merged(blocks, triple, first, last, least, fan_bits)
     return langs, frequent, pairs.drop("mark"), triples.drop("mark")
 
