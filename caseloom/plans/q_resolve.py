@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from caseloom import fixed
 from caseloom.functions import text as tx
-from caseloom.operators import follow, golden, resolve
+from caseloom.operators import follow, golden, plausible, resolve
 from caseloom.plans import duck
 from caseloom.plans.fixture import load
 from caseloom.plans.registry import cte, query
@@ -296,6 +296,53 @@ def jn_plausible_pairs(spark, sf):
     return resolve.plausible_pairs(load(spark, sf, "cards"), pairs).select("uid_a", "uid_b")
 
 
+cte("pl_in", "select * from prof where fam <> 'legal'")
+cte("pl_stand", """
+  select p.*, c.chain, unnest(list_filter([case when inc is not null then concat('i ', cast(inc as varchar)) end,
+      case when pub is not null then concat(case when inc is null then 'p0 ' else 'p1 ' end, cast(pub as varchar)) end], lambda s: s is not null)) as slot
+  from pl_in p, lateral (select unnest(list_distinct(p.lchains)) as chain) c""")
+cte("pl_seek", """
+  select p.*, c.chain, s.slot from pl_in p, lateral (select unnest(list_distinct(p.lchains)) as chain) c,
+    lateral (select concat('i ', cast(p.inc + cast(o as int) as varchar)) as slot from generate_series(0, 3) as g(o) where p.inc is not null
+      union all select concat('p0 ', cast(p.pub + cast(o as int) as varchar)) from generate_series(0, 3) as g(o) where p.inc is null and p.pub is not null
+      union all select concat('p1 ', cast(p.pub + cast(o as int) as varchar)) from generate_series(-3, 3) as g(o) where p.inc is null and p.pub is not null) s""")
+cte("pl_pairs", f"""
+  select a.uid as one, b.uid as other, a.chain, b.slot, a.amount as x, b.amount as y, a.toks as xt, b.toks as yt, b.norm as name,
+    {duck.jaccard('a.grams', 'b.grams')} >= 0.3 as alike
+  from pl_seek a join pl_stand b on a.slot = b.slot and a.chain = b.chain""")
+cte("pl_members", """
+  select concat_ws('|', 'a', slot, chain, cast(cast(floor(log2(amount)) as int) as varchar)) as cell, uid, amount from pl_stand where amount > 0
+  union all
+  select concat_ws('|', t, slot, chain, w), uid, null from (select distinct uid, slot, chain, amount, unnest(toks) as w from pl_stand),
+    (values ('w'), ('W')) as k(t) where t = 'w' or amount is null
+  union all
+  select concat_ws('|', t, slot, chain, norm), uid, null from pl_stand, (values ('n'), ('N')) as k(t) where t = 'n' or amount is null
+  union all
+  select concat_ws('|', 'l', cast(pub as varchar), w), uid, null from (select uid, pub, unnest(words) as w from prof where fam = 'legal' and pub is not null)""")
+cte("pl_placed", "select cell, uid, row_number() over (partition by cell order by amount, uid) as place from pl_members")
+cte("pl_met", """
+  select one, concat_ws('|', 'a', slot, chain, cast(cast(floor(log2(y)) as int) as varchar)) as cell, other from pl_pairs
+  where x > 0 and y > 0 and x / y between 0.5 and 2.0
+  union
+  select one, concat_ws('|', case when x is null then 'w' else 'W' end, slot, chain, w), other from (
+    select *, unnest(list_intersect(xt, yt)) as w from pl_pairs where x is null or y is null)
+  union
+  select one, concat_ws('|', case when x is null then 'n' else 'N' end, slot, chain, name), other from pl_pairs where (x is null or y is null) and alike
+  union
+  select a.uid, concat_ws('|', 'l', cast(b.pub as varchar), a.w), b.uid
+  from (select uid, pub, unnest(words) as w from prof where fam = 'legal') a join (select uid, pub, unnest(words) as w from prof where fam = 'legal') b
+    on a.w = b.w and b.pub - a.pub between 0 and 5""")
+
+
+@query("jn_plausible_reach", """
+  select m.one as uid, m.cell, min(p.place) as first, max(p.place) as last, count(*) filter (m.other <> m.one) as n
+  from pl_met m join pl_placed p on p.cell = m.cell and p.uid = m.other group by m.one, m.cell having n > 0""")
+def jn_plausible_reach(spark, sf):
+    """All doubtful pairs, generated: of each card, the ranges of the cells it is plausible with."""
+    _, reach = plausible.plausible_reach(load(spark, sf, "cards"))
+    return reach
+
+
 @query("jn_decisions", "select uid_a, uid_b, cast(same as int) as same from accepted_pairs")
 def jn_decisions(spark, sf):
     return resolve.accepted(decisions(spark, sf)).select("uid_a", "uid_b", F.col("same").cast("int").alias("same"))
