@@ -21,16 +21,26 @@ def _known(amount: Column) -> Column:
     return F.coalesce(amount, F.lit(0.0)) != 0
 
 
+def money_facts(texts: DataFrame, *key: str) -> DataFrame:
+    """(key, has_text, money) of texts (key, text): what the flags read of a text, for texts that many cards share.
+
+    A text is scanned once, here; the facts of a text in pieces are those of its pieces, `money` end to end.
+    """
+    text = F.coalesce("text", F.lit(""))
+    return spread(texts.select(*key, "text")).select(*key, (text != "").alias("has_text"), tx.money_values(text).alias("money"))
+
+
 def qa_flags(cards: DataFrame, texts: DataFrame, addresses: DataFrame) -> DataFrame:
-    """Cards with their quality flags; texts: (uid, text), addresses: (uid, ...)."""
+    """Cards with their quality flags; texts: (uid, text) or, by money_facts, (uid, has_text, money); addresses: (uid, ...)."""
     held = addresses.select("uid", F.lit(True).alias("has_address")).distinct()
-    c = spread(cards.join(texts.select("uid", "text"), "uid", "left").join(held, "uid", "left"))
+    facts = texts if "money" in texts.columns else money_facts(texts, "uid")
+    facts = facts.select("uid", "has_text", F.col("money").alias("stated_money"))
+    c = spread(cards.join(facts, "uid", "left").join(held, "uid", "left"))
     idt, pub, day, amount = F.col("incident_date"), F.col("published_at"), F.col("coll_day"), F.col("amount_usd")
     title, kind = F.coalesce("title", F.lit("")), F.col("incident_type")
-    text = F.coalesce("text", F.lit(""))
-    values = tx.money_values(text)
+    values = F.coalesce("stated_money", F.array().cast("array<double>"))
     stated = F.exists(values, lambda v: F.coalesce(tx.close(amount, v, fixed.AMOUNT_TOLERANCE), F.lit(False)))
-    has_text, has_values = text != "", F.size(values) > 0
+    has_text, has_values = F.coalesce("has_text", F.lit(False)), F.size(values) > 0
     project = F.lower(F.trim(F.coalesce("project", F.lit(""))))
     plain_title = F.lower(F.trim(title))
     titled = (project == "") | (project == plain_title) | (F.length(project) > 50)
@@ -52,7 +62,7 @@ def qa_flags(cards: DataFrame, texts: DataFrame, addresses: DataFrame) -> DataFr
         (~legal & title.rlike(fixed.LEGAL_WORDS) & ~title.rlike(fixed.ATTACK_WORDS), "type_maybe_legal"),
         (legal & title.rlike(fixed.ATTACK_WORDS) & ~head.rlike(fixed.LEGAL_WORDS), "type_maybe_attack"),
     )
-    return c.withColumn("flags", flags)
+    return c.withColumn("flags", flags).drop("has_text", "stated_money")
 
 
 def flag_counts(flagged: DataFrame) -> DataFrame:
