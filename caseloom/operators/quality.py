@@ -58,7 +58,7 @@ def qa_flags(cards: DataFrame, texts: DataFrame, addresses: DataFrame) -> DataFr
          "amount_missing_but_text_has_money"),
         ((F.size("chains") == 0) & kind.isin(fixed.ONCHAIN_ATTACK_TYPES), "no_chain"),
         (titled, "project_is_title"), (~titled & project.rlike(fixed.GENERIC_PROJECT), "project_generic"),
-        (~blob.rlike(fixed.CRYPTO_WORDS) & F.col("has_address").isNull(), "relevance_suspect"),
+        (F.col("has_address").isNull() & ~blob.rlike(fixed.CRYPTO_WORDS), "relevance_suspect"),
         (~legal & title.rlike(fixed.LEGAL_WORDS) & ~title.rlike(fixed.ATTACK_WORDS), "type_maybe_legal"),
         (legal & title.rlike(fixed.ATTACK_WORDS) & ~head.rlike(fixed.LEGAL_WORDS), "type_maybe_attack"),
     )
