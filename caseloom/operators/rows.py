@@ -83,6 +83,11 @@ def basis_date(basis: str = "event") -> Column:
     return F.col("day") if basis == "collected" else F.coalesce("event_date", "day")
 
 
+def haystack() -> Column:
+    """The text of a row that a free search looks into, addresses aside."""
+    return F.concat_ws(" ", "project", "title", "actors", "tags", "chains", "summary_ko", "summary_en", "attack_method", "tx_hashes")
+
+
 def filter_rows(
     rows: DataFrame, sources: DataFrame | None = None, addresses: DataFrame | None = None, *, days=None, start=None,
     end=None, type_: str | None = None, chain: str | None = None, source: str | None = None, q: str | None = None,
@@ -102,9 +107,7 @@ def filter_rows(
         out = out.join(sources.where(F.col("source") == source).select("uid").distinct(), "uid", "left_semi")
     needle = (q or "").strip().lower()
     if needle:
-        text = F.lower(F.concat_ws(" ", "project", "title", "actors", "tags", "chains", "summary_ko", "summary_en",
-                                   "attack_method", "tx_hashes"))
-        hit = F.contains(text, F.lit(needle))
+        hit = F.contains(F.lower(haystack()), F.lit(needle))
         if addresses is not None:
             by_address = addresses.where(F.contains(F.lower("address"), F.lit(needle))).select(
                 "uid", F.lit(True).alias("_by_address")).distinct()
