@@ -11,7 +11,7 @@ from caseloom.operators import cards as cd
 from caseloom.operators import extract, matching
 from caseloom.operators import quality as qa
 from caseloom.plans import duck
-from caseloom.plans.fixture import duck_text, load, pick, spark_text
+from caseloom.plans.fixture import duck_text, load, misspelt, pick, spark_text
 from caseloom.plans.q_rows import flat
 from caseloom.plans.q_text import BLOB, NUM, SUBJECT, chains_sql, keyword_sql, money_list
 from caseloom.plans.registry import cte, query
@@ -455,7 +455,7 @@ def dq_contract_type(spark, sf):
 
 
 EXPLORER = [
-    "address", "p % 3 = 0 as e_contract", "case when p % 4 = 0 then upper(name) else '' end as e_name",
+    misspelt("p % 4 = 1") + " as address", "p % 3 = 0 as e_contract", "case when p % 4 = 0 then upper(name) else '' end as e_name",
     "case when p % 6 = 0 then 'SYM' else '' end as e_token", "'Token name' as e_token_name",
     "case when p % 5 = 0 then 'Impl' else '' end as e_impl", "p % 7 = 0 as e_verified", "p % 19 = 0 as e_scam",
     "case when p % 10 = 0 then 'who.eth' else '' end as e_ens", "case when p % 2 = 0 then cast(p as bigint) end as e_tx",
@@ -465,7 +465,7 @@ LABEL_STATE = [
     "case when p % 3 = 0 then 'S' else '' end as symbol", "'' as impl_name",
     "case when p % 8 = 0 then '0xabc' else '' end as delegated", "scam", "verified", "label",
 ]
-shaped_cte("expl", "address_labels where p % 4 <> 1", EXPLORER)
+shaped_cte("expl", "address_labels", EXPLORER)
 shaped_cte("lstate", "address_labels", LABEL_STATE)
 cte("lmerged", """
   select address, k2 as kind, case when gone then 'destroyed' else ctype end as ctype,
@@ -484,7 +484,7 @@ cte("lmerged", """
 
 def merged_labels(spark: SparkSession, sf: str) -> DataFrame:
     labels = load(spark, sf, "address_labels")
-    return qa.merge_explorer(shaped(labels, LABEL_STATE), shaped(labels.where("p % 4 <> 1"), EXPLORER))
+    return qa.merge_explorer(shaped(labels, LABEL_STATE), shaped(labels, EXPLORER))
 
 
 @query("dq_explorer_merge", "select * exclude (label) from lmerged")
@@ -563,10 +563,10 @@ def dq_address_review(spark, sf):
 
 @query("dq_recheck_due", f"""
   select distinct {duck.hex_key('a.address')} as key from card_addresses a left join
-    (select * from address_labels where p % 10 <> 0) l on l.address = {duck.hex_key('a.address')}
+    (select * replace ({duck_text(misspelt("p % 10 = 0"))} as address) from address_labels) l on l.address = {duck.hex_key('a.address')}
   where l.kind is null or l.kind in ('unknown', 'unfunded')""")
 def dq_recheck_due(spark, sf):
-    labels = load(spark, sf, "address_labels").where("p % 10 <> 0").withColumn("key", F.col("address"))
+    labels = load(spark, sf, "address_labels").withColumn("key", F.expr(spark_text(misspelt("p % 10 = 0"))))
     return qa.recheck_due(load(spark, sf, "card_addresses"), labels)
 
 
@@ -592,7 +592,9 @@ OUT = [
     "case when d % 10 = 0 then 77.0 end as o_amount", "'on polygon today' as o_summary_en", "'x' as o_method_en", "d",
 ]
 shaped_cte("items_in", "articles", ITEMS)
-shaped_cte("enrich_out", "articles where d % 4 = 0", OUT)
+RETURNED = ["case when d % 4 = 0 then uid else concat('gone-', uid) end as uid"]
+shaped_cte("enrich_out", "articles", OUT)
+shaped_cte("returned", "articles", RETURNED)
 
 
 def items_in(spark: SparkSession, sf: str) -> DataFrame:
@@ -600,7 +602,7 @@ def items_in(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def enrich_out(spark: SparkSession, sf: str) -> DataFrame:
-    return shaped(load(spark, sf, "articles").where("d % 4 = 0"), OUT)
+    return shaped(load(spark, sf, "articles"), OUT)
 
 
 MAXED = money_list(BLOB, "(?i)\\$\\s?" + NUM + "\\s*(billion|million|thousand|bn|mn|[bmk])?\\b")
@@ -660,9 +662,10 @@ def prj_enriched_addresses(spark, sf):
 
 @query("prj_pending", """
   select i.uid, case when i.needs_enrichment and o.uid is null then 'pending' when o.uid is not null then 'enriched'
-    else 'rule_based' end as status from items_in i left join enrich_out o on o.uid = i.uid""")
+    else 'rule_based' end as status from items_in i left join returned o on o.uid = i.uid""")
 def prj_pending(spark, sf):
-    return cd.pending(items_in(spark, sf), enrich_out(spark, sf))
+    """Results came back for every fourth article, and for others that aren't here."""
+    return cd.pending(items_in(spark, sf), shaped(load(spark, sf, "articles"), RETURNED))
 
 
 @query("prj_backfill_stamp", """

@@ -10,11 +10,11 @@ from caseloom.functions import text as tx
 from caseloom.operators import analytics as an
 from caseloom.operators import matching, resolve, tables
 from caseloom.plans import duck
-from caseloom.plans.fixture import load, read
+from caseloom.plans.fixture import duck_text, load, read, spark_text
 from caseloom.plans.q_quality import CATEGORY, OUT_CHAIN
 from caseloom.plans.q_resolve import decisions
 from caseloom.plans.q_rows import addresses as row_addresses
-from caseloom.plans.q_rows import blacklist, flat, money_sql, sources
+from caseloom.plans.q_rows import LABEL_MISSES, blacklist, flat, money_sql, sources
 from caseloom.plans.q_rows import rows as incident_rows
 from caseloom.plans.registry import cte, query
 from caseloom.session import scratch_path
@@ -60,9 +60,10 @@ def jn_snapshot_new(spark, sf):
 
 
 @query("set_diff_snapshot", """
-  select value from drops where d > date '2024-01-02' except select value from drops where d <= date '2024-01-02'""")
+  select value from drops except select value from drops where d <= date '2024-01-02'""")
 def set_diff_snapshot(spark, sf):
-    return list_drop(spark, sf, "2024-01-03", "2999-12-31").distinct().join(
+    """The whole list without its snapshot of the first two days."""
+    return list_drop(spark, sf, "1900-01-01", "2999-12-31").distinct().join(
         list_drop(spark, sf, "1900-01-01", "2024-01-02"), "value", "left_anti")
 
 
@@ -145,17 +146,21 @@ def jn_known_address_hits(spark, sf):
   select a.uid, a.ord, a.address, coalesce(l.kind, '') as kind, coalesce(l.ctype, '') as ctype,
     coalesce(l.label, '') as label, l.tx_count, cast(coalesce(l.scam, false) as bigint) as scam,
     cast(coalesce(l.verified, false) as bigint) as verified
-  from card_addresses a left join (select * from address_labels where p % 3 <> 0) l on l.address = {duck.hex_key('a.address')}""")
+  from card_addresses a left join (select * replace ({duck_text(LABEL_MISSES)} as address) from address_labels) l
+    on l.address = {duck.hex_key('a.address')}""")
 def jn_labels(spark, sf):
-    out = matching.attach_labels(load(spark, sf, "card_addresses"), load(spark, sf, "address_labels").where("p % 3 <> 0"))
+    labels = load(spark, sf, "address_labels").withColumn("address", F.expr(spark_text(LABEL_MISSES)))
+    out = matching.attach_labels(load(spark, sf, "card_addresses"), labels)
     return flat(out.select("uid", "ord", "address", "kind", "ctype", "label", "tx_count", "scam", "verified"))
 
 
 @query("jn_address_export", """
   select a.uid, a.ord, a.chain, a.address, a.role, c.source, c.project, cast(c.incident_date as varchar) as incident_date, c.url
-  from card_addresses a left join (select * from cards where k % 7 <> 0) c on c.uid = a.uid""")
+  from card_addresses a left join (select * replace (case when k % 7 = 0 then concat('gone-', uid) else uid end as uid) from cards) c
+    on c.uid = a.uid""")
 def jn_address_export(spark, sf):
-    cards = load(spark, sf, "cards").where("k % 7 <> 0")
+    """Addresses of every seventh card meet none."""
+    cards = load(spark, sf, "cards").withColumn("uid", F.expr("case when k % 7 = 0 then concat('gone-', uid) else uid end"))
     out = matching.address_export(load(spark, sf, "card_addresses"), cards)
     return flat(out.select("uid", "ord", "chain", "address", "role", "source", "project", "incident_date", "url"))
 
