@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from caseloom import fixed
 from caseloom.functions import text as tx
 from caseloom.operators import extract
+from caseloom.operators.golden import merge_addresses
 
 NO_STRINGS = "array<string>"
 
@@ -77,6 +78,19 @@ def enriched_addresses(items: DataFrame, proposed: DataFrame, ignore: list[str]
         F.coalesce("note", F.lit("")).alias("note"))
 
 
+def card_addresses(given: DataFrame, proposed: DataFrame, found: DataFrame) -> DataFrame:
+    """Addresses of enriched cards, (uid, ord, address, chain, role, note), one row a chain and address.
+
+    The source's own come first, then those that enrichment proposed and the text bears out, then those found by pattern;
+    a later mention only adds a role or note that is still missing. All three: (uid, ord, address, chain, role, note).
+    """
+    each = [rows.select("uid", F.struct(F.lit(rank).alias("rank"), F.col("ord").cast("long").alias("ord")).alias("at"), "address", "chain", "role", "note")
+            for rank, rows in enumerate((given, proposed, found))]
+    merged = merge_addresses(each[0].unionByName(each[1]).unionByName(each[2]), ["uid"], "at")
+    place = Window.partitionBy("uid").orderBy("at", "chain", "address")  # a card's own addresses
+    return merged.select("uid", F.row_number().over(place).cast("long").alias("ord"), "address", "chain", "role", "note")
+
+
 def pending(items: DataFrame, out: DataFrame) -> DataFrame:
     """Items with their state: pending when enrichment was expected and is missing."""
     done = out.select("uid", F.lit(True).alias("done")).distinct()

@@ -208,6 +208,24 @@ def address_formats(found: DataFrame) -> DataFrame:
                     reason.alias("reason"), chain.alias("chain"))
 
 
+def field_evidence(patches: DataFrame, texts: DataFrame) -> DataFrame:
+    """(uid, field, found): whether the text bears a proposed date, amount, type or project out.
+
+    patches: (uid, p_date_evidence, p_amount, p_amount_evidence, p_type_evidence, p_project). A date or type needs its
+    phrase in the text; an amount its phrase and the amount itself; a project most of its words, and to be a name.
+    """
+    j = patches.join(texts.select("uid", "text"), "uid", "left").withColumn("text", F.coalesce("text", F.lit("")))
+    text = F.col("text")
+    found = {
+        "date": tx.evidence_in_text(F.col("p_date_evidence"), text),
+        "amount": tx.evidence_in_text(F.col("p_amount_evidence"), text) & tx.states_amount(text, F.col("p_amount")),
+        "type": tx.evidence_in_text(F.col("p_type_evidence"), text),
+        "project": tx.text_mentions(F.col("p_project"), text) & ~tx.is_generic_name(F.col("p_project")),
+    }
+    each = [F.struct(F.lit(k).alias("field"), F.coalesce(v, F.lit(False)).alias("found")) for k, v in found.items()]
+    return j.select("uid", F.explode(F.array(*each)).alias("f")).select("uid", "f.*")
+
+
 def evidence(patches: DataFrame, texts: DataFrame) -> DataFrame:
     """(uid, field, found): whether the phrase given for a field occurs in the text."""
     return patches.join(texts.select("uid", "text"), "uid", "left").select(

@@ -442,6 +442,33 @@ def repair_addresses(addresses: DataFrame, labels: DataFrame) -> DataFrame:
         .alias("implied_chain"))
 
 
+def apply_repairs(cards: DataFrame, repaired: DataFrame) -> DataFrame:
+    """Cards with what the repair of their addresses gives them: hashes that stood among the addresses, implied chains.
+
+    repaired: the rows of repair_addresses. New entries follow the card's own, in the order of its addresses; a chain that
+    the card names in any spelling is not added again.
+    """
+    def gathered(kind: str, value: Column, rows: Column) -> DataFrame:
+        found = repaired.where(rows).select("uid", value.alias("v"), "ord").groupBy("uid", "v").agg(F.min("ord").alias("ord"))
+        return found.groupBy("uid").agg(F.transform(F.array_sort(F.collect_list(F.struct("ord", "v"))), lambda x: x["v"]).alias(kind))
+
+    moved = gathered("moved", F.col("old_address"), F.col("action") == "tx_hash_moved")
+    implied = gathered("implied", F.col("implied_chain"), F.coalesce("implied_chain", F.lit("")) != "")
+    none = F.array().cast("array<string>")
+    hashes, chains = F.coalesce("tx_hashes", none), F.coalesce("chains", none)
+    named = F.transform(chains, lambda c: tx.chain_name(c))
+    return cards.join(moved, "uid", "left").join(implied, "uid", "left").withColumns({
+        "tx_hashes": F.concat(hashes, F.array_except(F.coalesce("moved", none), hashes)),
+        "chains": F.concat(chains, F.array_except(F.coalesce("implied", none), named))}).drop("moved", "implied")
+
+
+def repair_log(repaired: DataFrame) -> DataFrame:
+    """(uid, ord, change, before, after): one row for each thing a repair changed."""
+    implied = F.when(F.coalesce("implied_chain", F.lit("")) != "", F.concat(F.lit("implies "), F.col("implied_chain")))
+    each = F.explode(F.array_compact(F.concat("changes", F.array(implied)))).alias("change")
+    return repaired.select("uid", "ord", each, F.col("old_address").alias("before"), F.when(F.col("action") == "keep", F.col("address")).alias("after"))
+
+
 def address_review(labels: DataFrame, owners: DataFrame) -> DataFrame:
     """(address, finding): labels a person should look at; owners: (key, role) of the card each address belongs to."""
     j = labels.join(owners, "key")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from caseloom.plans import (  # noqa: F401
-    q_index, q_quality, q_resolve, q_rows, q_sources, q_stream, q_tables, q_text,
+    q_index, q_quality, q_repair, q_resolve, q_rows, q_sources, q_stream, q_tables, q_text,
 )
 from caseloom.plans.registry import QUERIES, composed  # noqa: F401
 
