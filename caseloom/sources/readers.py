@@ -21,6 +21,7 @@ from caseloom.functions import html as hp
 from caseloom.functions import text as tx
 from caseloom.operators import extract, matching
 from caseloom.operators.cards import item_uid
+from caseloom.operators.ranking import running_sum
 
 ITEM = {
     "source": "string", "source_id": "string", "uid": "string", "url": "string", "title": "string",
@@ -195,8 +196,22 @@ def catalog_blocks(files: DataFrame, since=None, source="defihacklabs") -> DataF
     return to_items(items, source, since)
 
 
+def catalog_sections(spark: SparkSession, path: str) -> DataFrame:
+    """(content) of each dated section of catalogue files, however long a file is.
+
+    Files are read by lines, in as many splits as their sizes ask for. A line's section is the number of dated headings
+    up to it in its file, a running count over ranges of lines; only the lines of one section meet in a task.
+    """
+    lines = spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("start"),
+        F.monotonically_increasing_id().alias("line"), "value", F.col("value").rlike(r"^### \d{8} ").cast("int").alias("head"))
+    held = running_sum(lines, ["file"], ["start", "line"], "head", "section").where("section > 0")
+    own = F.array_sort(F.collect_list(F.struct("start", "line", "value")))
+    return held.groupBy("file", "section").agg(F.array_join(F.transform(own, lambda x: x["value"]), "\n").alias("content")).select("content")
+
+
 def markdown_catalog(spark: SparkSession, path: str, since=None) -> DataFrame:
-    return catalog_blocks(spark.read.text(path, wholetext=True).withColumnRenamed("value", "content"), since)
+    return catalog_blocks(catalog_sections(spark, path), since)
 
 
 def code_headers(files: DataFrame) -> DataFrame:
@@ -444,10 +459,3 @@ def blacklist_csv(spark: SparkSession, paths: list[str]) -> DataFrame:
 def cards_jsonl(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """Cards restored from JSON Lines; malformed lines are skipped, unknown keys ignored."""
     return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
-
-
-READERS = {
-    "json_records": json_records, "rss": rss, "press_json": press_json, "sanctions_xml": sanctions_xml,
-    "markdown_catalog": markdown_catalog, "flat_list": flat_list, "blacklist_csv": blacklist_csv,
-    "cards_jsonl": cards_jsonl,
-}
