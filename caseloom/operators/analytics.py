@@ -182,14 +182,18 @@ def address_counts(listed: DataFrame) -> DataFrame:
     return listed.select(F.explode(facets).alias("f")).groupBy("f.facet", "f.value").agg(F.count("*").alias("n"))
 
 
-def sort_incidents(rows: DataFrame, sort: str = "day", direction: str | None = None) -> DataFrame:
-    """Sorted rows; numbers and dates descend by default, unknown amounts come last either way."""
+def incident_order(sort: str = "day", direction: str | None = None) -> list[Column]:
+    """Order of incident rows; numbers and dates descend by default, unknown amounts come last either way."""
     keys = {
         "amount": F.col("amount_usd"), "date": F.coalesce("event_date", "day"), "day": F.col("day"),
         "name": F.lower("project"), "type": F.col("type"),
         "chain": F.lower(F.coalesce(F.get("chains", F.lit(0)), F.lit("~"))), "sources": F.col("n_sources"),
     }
-    return _sorted(rows, keys[sort], sort, direction, "uid")
+    return _order(keys[sort], sort, direction, "uid")
+
+
+def sort_incidents(rows: DataFrame, sort: str = "day", direction: str | None = None) -> DataFrame:
+    return rows.orderBy(*incident_order(sort, direction))
 
 
 def sort_addresses(rows: DataFrame, sort: str, direction: str | None = None) -> DataFrame:
@@ -199,12 +203,12 @@ def sort_addresses(rows: DataFrame, sort: str, direction: str | None = None) ->
         "label": F.lower(F.when(F.coalesce("label", F.lit("")) == "", "~").otherwise(F.col("label"))),
         "tx": F.coalesce(F.col("tx_count"), F.lit(0)),
     }
-    return _sorted(rows, keys[sort], sort, direction, "low")
+    return rows.orderBy(*_order(keys[sort], sort, direction, "low"))
 
 
-def _sorted(rows: DataFrame, key: Column, sort: str, direction: str | None, tie: str) -> DataFrame:
+def _order(key: Column, sort: str, direction: str | None, tie: str) -> list[Column]:
     desc = direction == "desc" if direction in ("asc", "desc") else sort in ("amount", "date", "day", "sources", "tx")
-    return rows.orderBy(key.desc_nulls_last() if desc else key.asc_nulls_last(), F.asc(tie))
+    return [key.desc_nulls_last() if desc else key.asc_nulls_last(), F.asc(tie)]
 
 
 def page(rows: DataFrame, number: int = 1, size: int = 20, largest: int = 200) -> DataFrame:
