@@ -78,12 +78,25 @@ def cut_lineage(df: DataFrame, name: str = "step") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-_KEPT: dict[tuple[str, str, str], str] = {}
+_KEPT: dict[tuple[str, str, str, tuple], str] = {}
+
+
+def _stamp(spark: SparkSession, sf_dir: str) -> tuple:
+    """Names, sizes and times of the files of the tables in a folder: a replaced table gives another stamp."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{sf_dir}/*.parquet")
+    files, out = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), []
+    for table in files.globStatus(place) or []:
+        held = [table] if table.isFile() else files.listStatus(table.getPath())
+        out += [(f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in held]
+    return tuple(sorted(out))
 
 
 def kept_table(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
-    """A table that several queries of one session read: written to the shared folder by the first of them."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
+    """A table that several queries of one session read: written to the shared folder by the first of them.
+
+    It is made anew when the files of sf_dir have changed.
+    """
+    key = (spark.sparkContext.applicationId, sf_dir, name, _stamp(spark, sf_dir))
     if key not in _KEPT:
         path = scratch_path(spark, name)
         make().write.parquet(path)
@@ -91,6 +104,11 @@ def kept_table(spark: SparkSession, sf_dir: str, name: str, make: Callable[[], D
     return spark.read.parquet(_KEPT[key])
 
 
+def forget_kept() -> None:
+    """Let the next query write its shared tables again; the files stay until clear_scratch."""
+    _KEPT.clear()
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give costly per-row work all cores when the input has too few splits; large inputs have enough and stay as is."""
     cores = df.sparkSession.sparkContext.defaultParallelism
