@@ -98,9 +98,12 @@ class Words:
 
 
 class WordHashes(dict):
-    """BLAKE2 hashes of words by their bytes, of the recent ones: no two words are made to collide by their spelling."""
+    """BLAKE2 hashes of words by their bytes, of the recent ones: no two words are made to collide by their spelling.
 
-    def __init__(self, most: int = 1 << 25):
+    `most` bounds the bytes that a worker keeps; an executor may hold several idle workers, each with its own.
+    """
+
+    def __init__(self, most: int = 1 << 22):
         self.size, self.most = 0, most
 
     def __missing__(self, word: bytes) -> int:
