@@ -23,16 +23,23 @@ def history_order(scope: str = "scope") -> Column:
 
 
 def _prior(left: DataFrame, right: DataFrame, keys: list[str], when: Column | None = None) -> DataFrame:
-    """(uid, hit): earliest right row of the 14 days before the left row, on equal keys and a 14-day bin of days."""
+    """(uid, hit): earliest right row of the 14 days before the left row, on equal keys and a 14-day bin of days.
+
+    Left rows with equal rule inputs meet history as one cell, as history's do, so a name that many cards share on a day
+    costs its distinct dates, not its cards.
+    """
     width = F.lit(DAYS)
-    l = left.withColumn("_bin", F.floor(F.unix_date("scope_l") / width).cast("bigint"))
+    cards = left.select("uid_l", F.struct(*[c for c in left.columns if c != "uid_l"]).alias("_cell"))
+    l = cards.select("_cell").distinct().select("_cell", "_cell.*")
+    l = l.withColumn("_bin", F.floor(F.unix_date("scope_l") / width).cast("bigint"))
     first = F.floor(F.unix_date("scope_r") / width).cast("bigint")
     r = right.withColumn("_bin", F.explode(F.array(first, first + 1)))
     gap = F.datediff("scope_l", "scope_r")
     met = l.join(r, [*keys, "_bin"]).where((gap >= 1) & (gap <= DAYS))
     if when is not None:
         met = met.where(when)
-    return met.groupBy("uid_l").agg(F.min("ord").alias("hit"))
+    cells = met.groupBy("_cell").agg(F.min("ord").alias("hit"))
+    return cards.join(cells, "_cell").groupBy("uid_l").agg(F.min("hit").alias("hit"))
 
 
 def _left(df: DataFrame, keys: list[str], cols: list[str]) -> DataFrame:
