@@ -63,3 +63,9 @@ def test_cells_of_a_name_give_edges_not_pairs(spark):
     edges = resolve.fuzzy_links(nodes, met).collect()
     assert len(edges) < 6 * 600
     assert len(set(roots([f"u{i:05d}" for i in range(600)], [(r.a, r.b) for r in edges]).values())) == 1
+
+
+def test_a_star_has_no_edges_for_null_keys(spark):
+    rows = [(DAY, "k", "c"), (DAY, "k", "a"), (DAY, "k", "b"), (DAY, "k", "b"), (DAY, None, "d"), (DAY, None, "e"), (None, "k", "f"), (None, "k", "g")]
+    edges = resolve.star(spark.createDataFrame(rows, "scope date, key string, uid string"), ["scope", "key"])
+    assert sorted((r.a, r.b) for r in edges.collect()) == [("a", "b"), ("a", "c")]
