@@ -32,3 +32,14 @@ def test_null_inputs_meet_as_cells_too(spark):
     p = p.withColumn("ord", follow.history_order())
     hits = follow._prior(follow._left(p, ["norm", "fam"], ["ref"]), follow._right(p, ["norm", "fam"], ["ref"]), ["norm", "fam"])
     assert {(r.uid_l, r.hit.uid) for r in hits.collect()} == {("b", "a"), ("c", "a")}
+
+
+def test_each_rule_is_a_plan_of_its_own(spark):
+    """What links are made of is written rule by rule; one plan of all rules held hundreds of exchanges in the driver."""
+    rows = [(f"u{i}", "rss:a", "Title of a case", "hack_exploit", f"moonbase{i}", DAY + dt.timedelta(i), DAY, DAY, 5.0, [], []) for i in range(3)]
+    g = spark.createDataFrame(rows, "uid string, source string, title string, incident_type string, project string, coll_day date, "
+                              "incident_date date, published_at date, amount_usd double, tags array<string>, tx_hashes array<string>").withColumn("relevant", F.lit(True))
+    links = follow.followup_links(g, spark.createDataFrame([("u0", "0xa", "attacker"), ("u2", "0xA", "unknown")], "uid string, address string, role string"))
+    plan = links._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") <= 1
+    assert ("u2", "u0") in {(r.uid, r.orig_uid) for r in links.collect()}
