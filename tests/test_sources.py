@@ -73,3 +73,16 @@ def test_configured_sources_and_unknown_names(spark, tmp_path):
     assert len(registry.READERS) == 16
     with pytest.raises(ValueError):
         registry.read(spark, "nothing", "x")
+
+
+def test_a_worker_holds_few_pages_and_their_rows(spark):
+    """Two thousand pages of fifty rows with 2 KB each: the rows of all pages would take 200 MB of a worker."""
+    def resident(_, html):
+        with open("/proc/self/statm") as f:
+            held = int(f.read().split()[1]) * 4096 / 1e6
+        return [(held, html[3:4] * 2000 + str(i)) for i in range(50)]
+
+    pages = spark.range(0, 2000, 1, 1).selectExpr("cast(id as string) as url", "concat('<p>', id, '</p>') as html")
+    rows = readers._per_page(pages, "url string, mb double, text string", resident)
+    got = rows.selectExpr("count(*) as n", "count(distinct url) as pages", "max(mb) - min(mb) as grown").first()
+    assert (got.n, got.pages) == (100_000, 2000) and got.grown < 60
