@@ -275,3 +275,21 @@ def test_two_cards_named_unknown_join_by_date(spark):
 def test_delegated_account_is_no_contract(spark):
     code = ["0xef0100" + "ab" * 20, "0x6001", "0x", None]
     assert values(spark, quality.code_size, *code) == [0, 2, 0, 0]
+
+
+def test_classes_by_ranges_leave_what_the_negated_ones_left(spark):
+    """Over all code points; as negated classes these took most of the time of evidence and name keys."""
+    points = spark.range(1, 0x110000).where("id < 55296 or id > 57343").selectExpr("decode(unhex(lpad(hex(id), 8, '0')), 'UTF-32') as c")
+    for ranges, negated in ((tx.UNQUOTED, r"[^0-9a-z가-힣$%.,]+"), (tx.UNNAMED, r"[^a-z0-9가-힣 ]+"), (tx.UNKEYED, "[^a-z0-9가-힣]+")):
+        assert points.where(F.regexp_replace("c", ranges, "") != F.regexp_replace("c", negated, "")).count() == 0
+
+
+def test_a_text_is_made_ready_for_its_evidence_once(spark):
+    """The text was stripped of punctuation for each phrase that is looked for in it."""
+    patches = spark.createDataFrame([("u1", "stolen — coins", 5.0, "lost $5", "no phrase", "Moonbase")],
+                                    "uid string, p_date_evidence string, p_amount double, p_amount_evidence string, p_type_evidence string, p_project string")
+    texts = spark.createDataFrame([("u1", "The Stolen coins of MOONBASE, they lost $5 " + "x " * 200)], "uid string, text string")
+    found = extract.field_evidence(patches, texts)
+    assert {r.field for r in found.where("found").collect()} == {"date", "amount", "project"}
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("(?U)\\s+") == 10  # three times for each of three phrases, once for the text; 15 before
