@@ -293,3 +293,11 @@ def test_a_text_is_made_ready_for_its_evidence_once(spark):
     assert {r.field for r in found.where("found").collect()} == {"date", "amount", "project"}
     plan = found._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("(?U)\\s+") == 10  # three times for each of three phrases, once for the text; 15 before
+
+
+def test_texts_are_searched_for_addresses_once(spark):
+    """The search ran three times: for plain forms, for the strings to decode and for those to join back."""
+    texts = spark.createDataFrame([("u1", f"to 0x{'ab' * 20} and 1A1zP1eP5QGefi2DMPTfTL5SLmv7DivfNa now")], "uid string, text string")
+    found = extract.addresses(texts)
+    assert {(r.chain, r.address) for r in found.collect()} == {("ETH", f"0x{'ab' * 20}"), ("BTC", "1A1zP1eP5QGefi2DMPTfTL5SLmv7DivfNa")}
+    assert "regexp_extract_all" not in found._jdf.queryExecution().optimizedPlan().toString()
