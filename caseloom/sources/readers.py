@@ -70,6 +70,29 @@ def json_records(spark: SparkSession, path: str, since=None, source="defillama",
     ), source, since)
 
 
+# --- XML -----------------------------------------------------------------------------------------------------------
+def xml_records(spark: SparkSession, path: str, tag: str, schema: str) -> DataFrame:
+    """The elements of a name in XML files, read in splits: text up to each end tag, parsed from its start tag on.
+
+    Where text alone can't tell the elements apart (a start or end tag inside a comment or CDATA, an element inside one of
+    its name, an empty element, a blank in an end tag), the file is read whole by Spark's reader, which takes one task a file.
+    """
+    start, apart = rf"<{tag}[\s>/]", r"(?s)<!--.*?-->|<!\[CDATA\[.*?\]\]>"
+    pieces = spark.read.option("lineSep", f"</{tag}>").text(path).select("value", F.col("_metadata.file_path").alias("file"))
+    bare = F.regexp_replace("value", apart, "")
+    starts = F.regexp_count("value", F.lit(start))
+    marked = F.contains("value", F.lit("<!--")) | F.contains("value", F.lit("<![CDATA["))
+    astray = F.when(marked, (starts != F.regexp_count(bare, F.lit(start))) | bare.rlike(r"<!--|<!\[CDATA\[")).otherwise(False)
+    unclear = (starts > 1) | astray | F.col("value").rlike(rf"</{tag}\s|<{tag}(?:\s[^<>]*)?/>")
+    files = [r["file"] for r in pieces.where(unclear).select("file").distinct().collect()]
+    clear = pieces.where(starts == 1)
+    if files:
+        clear = clear.where(~F.col("file").isin(files))
+    text = F.concat(F.regexp_extract("value", rf"(?s){start}.*", 0), F.lit(f"</{tag}>"))
+    out = clear.select(F.from_xml(text, schema).alias("r")).select("r.*")
+    return out.unionByName(spark.read.schema(schema).option("rowTag", tag).format("xml").load(files)) if files else out
+
+
 # --- feeds ---------------------------------------------------------------------------------------------------------
 RSS_ITEM = "title string, link string, pubDate string, description string, category array<string>"
 
@@ -77,7 +100,7 @@ RSS_ITEM = "title string, link string, pubDate string, description string, categ
 def rss(spark: SparkSession, path: str, source: str, since=None, pages: DataFrame | None = None,
         site_names: tuple[str, ...] = ("TRM Labs", "Chainalysis"), require_keywords=True) -> DataFrame:
     """Feed entries, with the text of their landed article pages (url, html) where there is one."""
-    e = spark.read.schema(RSS_ITEM).option("rowTag", "item").format("xml").load(path)
+    e = xml_records(spark, path, "item", RSS_ITEM)
     link = F.regexp_replace(F.regexp_replace(F.coalesce("link", F.lit("")), r"[?&](utm_[a-z]+|ref|source)=[^&#]*", ""),
                             "[?&]+$", "")
     title = F.regexp_replace(F.trim("title"), r"\s*\|\s*(" + "|".join(map(re.escape, site_names)) + r")\s*$", "")
@@ -136,7 +159,7 @@ def currency_chain(code: Column, address: Column) -> Column:
 
 def sanctions_xml(spark: SparkSession, path: str) -> DataFrame:
     """(entity_uid, entity_name, programs, chain, address) of a full sanctions list."""
-    e = spark.read.schema(SDN_ENTRY).option("rowTag", "sdnEntry").format("xml").load(path)
+    e = xml_records(spark, path, "sdnEntry", SDN_ENTRY)
     rows = e.select(
         F.trim("uid").alias("entity_uid"),
         F.trim(F.concat_ws(" ", F.trim(F.coalesce("firstName", F.lit(""))), F.trim(F.coalesce("lastName", F.lit("")))))

@@ -86,3 +86,34 @@ def test_a_worker_holds_few_pages_and_their_rows(spark):
     rows = readers._per_page(pages, "url string, mb double, text string", resident)
     got = rows.selectExpr("count(*) as n", "count(distinct url) as pages", "max(mb) - min(mb) as grown").first()
     assert (got.n, got.pages) == (100_000, 2000) and got.grown < 60
+
+
+def entry_of(i, note=""):
+    return (f"  <sdnEntry kind='x'>\n <uid> {i} </uid><lastName>A &amp; B {i} é</lastName>{note}<programList><program>P{i % 3}</program><program>Q</program></programList>\n"
+            f"<idList><id><idType>Digital Currency Address - ETH</idType><idNumber>0x{i:040x}</idNumber></id><id><idType>Passport</idType><idNumber>1</idNumber></id></idList></sdnEntry>\n")
+
+
+def test_a_long_sanctions_list_is_read_by_many_tasks(spark, tmp_path):
+    """One file: a task read it whole before."""
+    (tmp_path / "sdn.xml").write_text("<?xml version=\"1.0\"?>\n<sdnList xmlns='http://x'><head><n>1</n></head>\n" + "".join(
+        entry_of(i, "<!-- note --><remarks><![CDATA[a < b]]></remarks>" if i % 7 == 0 else "") for i in range(4000)) + "</sdnList>\n", encoding="utf-8")
+    whole = spark.read.schema(readers.SDN_ENTRY).option("rowTag", "sdnEntry").format("xml").load(str(tmp_path))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "128k")
+    try:
+        found = readers.xml_records(spark, str(tmp_path), "sdnEntry", readers.SDN_ENTRY)
+        assert found.rdd.getNumPartitions() >= 8
+        assert sorted(map(str, found.collect())) == sorted(map(str, whole.collect())) and found.count() == 4000
+        assert readers.sanctions_xml(spark, str(tmp_path)).count() == 4000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_tags_that_are_no_elements(spark, tmp_path):
+    odd = ["<!-- <sdnEntry><uid>91</uid></sdnEntry> -->", "<!-- </sdnEntry> -->", "<note><![CDATA[<sdnEntry> ]]></note>", "<sdnEntry/>", "<sdnEntry id='1' />",
+           "<sdnEntry><uid>92</uid></sdnEntry >", "<!-- <sdnEntry> -->", "<sdnEntryOther><uid>93</uid></sdnEntryOther>"]
+    for n, text in enumerate([*odd, ""]):
+        (tmp_path / f"{n}.xml").write_text(f"<sdnList>{entry_of(2 * n)}{text}{entry_of(2 * n + 1)}</sdnList>", encoding="utf-8")
+    whole = spark.read.schema(readers.SDN_ENTRY).option("rowTag", "sdnEntry").format("xml").load(str(tmp_path))
+    found = readers.xml_records(spark, str(tmp_path), "sdnEntry", readers.SDN_ENTRY)
+    assert sorted(map(str, found.collect())) == sorted(map(str, whole.collect())) and whole.count() >= 18
