@@ -14,16 +14,20 @@ the cards without amount only. (Amounts are losses, above zero; a negative one m
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from caseloom.functions import text as tx
+from caseloom.functions.alike import alike
 from caseloom.operators.ranking import numbered, running_sum
-from caseloom.operators.resolve import jaccard_pairs, profiles
+from caseloom.operators.resolve import profiles
 from caseloom.session import cut_lineage, spread
 
 NEAR_DAYS, LEGAL_DAYS, NAME_ALIKE, RATIO = 3, 5, 0.3, 2.0
-BIN_DAYS = NEAR_DAYS + 1  # days at most NEAR_DAYS apart share a bin of these or stand in neighbouring ones
+WINDOW_DAYS = 4 * NEAR_DAYS  # a card stands in one or two windows of these, and looks into one for each day
+BLOCK = 8192  # names that one task compares with as many
 
 
 def _inputs(cards: DataFrame) -> DataFrame:
@@ -99,7 +103,7 @@ def _by_amount(standing: DataFrame, seeking: DataFrame) -> tuple[DataFrame, Data
 def _whole(members: DataFrame, asked: DataFrame) -> DataFrame:
     """Reach of cards that look for whole cells, (uid, cell)."""
     sizes = members.groupBy("cell").agg(F.count("*").alias("last"))
-    return asked.distinct().join(sizes, "cell").select("uid", "cell", F.lit(1).cast("long").alias("first"), "last")
+    return asked.join(sizes, "cell").select("uid", "cell", F.lit(1).cast("long").alias("first"), "last").distinct()
 
 
 def _both(tag: str, rows: DataFrame, *parts: str) -> DataFrame:
@@ -119,22 +123,79 @@ def _by_word(standing: DataFrame, seeking: DataFrame) -> tuple[DataFrame, DataFr
     return members, _whole(members, asked)
 
 
+def _window(day: Column) -> Column:
+    return F.floor(day / WINDOW_DAYS)
+
+
+def _slot_day() -> Column:
+    return F.unix_date(F.to_date(F.split("slot", " ")[1]))
+
+
+def _bin(window: Column) -> Column:
+    return F.concat_ws("|", "chain", window.cast("string"))
+
+
+def open_names(standing: DataFrame) -> DataFrame:
+    """(bin, norm, open): the names of a chain and window of days; open are those of a card without amount.
+
+    A card stands in every window that cards NEAR_DAYS away look into; bins without an open name are left out later.
+    """
+    windows = F.array_distinct(F.array(_window(_slot_day() - NEAR_DAYS), _window(_slot_day() + NEAR_DAYS)))
+    placed = standing.select("chain", "norm", F.col("amount").isNull().alias("open"), F.explode(windows).alias("window"))
+    return placed.groupBy(_bin(F.col("window")).alias("bin"), "norm").agg(F.max("open").alias("open"))
+
+
+def dealt_names(names: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(bin, i, j, norm, open, asks): names dealt to cells of at most about `block` open names and `block` names.
+
+    Open names are compared with all of their bin. A bin of one block has one cell, and a name that is not open one row.
+    """
+    sizes = names.groupBy("bin").agg(F.ceil(F.count("*") / block).alias("blocks"), F.ceil(F.count_if("open") / block).alias("opens"))
+    spot = F.xxhash64("norm")
+
+    def cells(i: Column, j: Column, asks: bool) -> Column:
+        return F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"), F.lit(asks).alias("asks"))
+
+    def upto(n: str) -> Column:
+        return F.sequence(F.lit(0), F.col(n).cast("int") - 1)
+
+    held = F.transform(upto("opens"), lambda i: cells(i, F.pmod(spot, F.col("blocks")), False))
+    asks = F.transform(upto("blocks"), lambda j: cells(F.pmod(spot, F.col("opens")), j, True))
+    both = F.when(F.col("open"), F.concat(held, asks)).otherwise(held)
+    return names.join(sizes.where("opens > 0"), "bin").select("bin", "norm", "open", F.explode(both).alias("c")).select(
+        "bin", "c.i", "c.j", "norm", "open", "c.asks")
+
+
+def _alike_in_cell(cell: pa.Table) -> pa.Table:
+    asks = cell["asks"].to_numpy()
+    norm, open_ = np.array(cell["norm"].to_pylist(), dtype=object), cell["open"].to_numpy()
+    asked, held, held_open = norm[asks], norm[~asks], open_[~asks]
+    one, other = [], []
+    for i, near in alike(list(asked), list(held), NAME_ALIKE):
+        near = near[held[near] != asked[i]]
+        one += [asked[i]] * len(near)
+        other += list(held[near])
+        back = held[near[~held_open[near]]]  # an open one finds its way back by itself
+        one += list(back)
+        other += [asked[i]] * len(back)
+    return pa.table({"bin": pa.array([cell["bin"][0].as_py()] * len(one), pa.string()), "norm": pa.array(one, pa.string()), "name": pa.array(other, pa.string())})
+
+
+def alike_names(names: DataFrame, block: int = BLOCK) -> DataFrame:
+    """(bin, norm, name): different names of a bin alike in trigrams, both ways, one of them open at least."""
+    return dealt_names(names, block).groupBy("bin", "i", "j").applyInArrow(_alike_in_cell, "bin string, norm string, name string").select(
+        "bin", "norm", "name")
+
+
 def _by_name(standing: DataFrame, seeking: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Names alike in trigrams, among the distinct names of one chain and bin of days that holds a card without amount."""
-    def bins(rows: DataFrame) -> DataFrame:
-        number = F.floor(F.unix_date(F.to_date(F.split("slot", " ")[1])) / BIN_DAYS)
-        kind = F.substring("slot", 1, 1)
-        return rows.withColumn("bin", F.explode(F.array(*[F.concat_ws("|", kind, "chain", (number + o).cast("string")) for o in (0, 1)])))
-
-    here = bins(standing)
-    open_bins = here.where("amount is null").select("bin").distinct()
-    names = cut_lineage(here.select("bin", "norm").distinct().join(open_bins, "bin", "left_semi").withColumn("grams", tx.trigrams(F.col("norm"))), "names")
-    alike = jaccard_pairs(names, ["bin"], "norm", "grams", NAME_ALIKE)
-    one = alike.select("bin", F.col("id_a").alias("norm"), F.col("id_b").alias("name"))
-    itself = names.select("bin", "norm", F.col("norm").alias("name"))
-    pairs = cut_lineage(one.unionByName(one.select("bin", F.col("name").alias("norm"), F.col("norm").alias("name"))).unionByName(itself), "alike")
+    """Names alike in trigrams, among the distinct names of one chain and window of days that holds a card without amount.
+
+    Of two cards one has no amount, so only names of such cards are compared with the others.
+    """
+    pairs = cut_lineage(alike_names(cut_lineage(open_names(standing), "names")), "alike")
     members = _both("n", standing, "slot", "chain", "norm")
-    return members, _whole(members, _asked("n", bins(seeking).join(pairs, ["bin", "norm"]), "slot", "chain", "name"))
+    others = seeking.withColumn("bin", _bin(_window(_slot_day()))).join(pairs, ["bin", "norm"])
+    return members, _whole(members, _asked("n", seeking, "slot", "chain", "norm").unionByName(_asked("n", others, "slot", "chain", "name")))
 
 
 def _by_release(p: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -5,6 +5,7 @@ import random
 
 from pyspark.sql import functions as F
 
+from caseloom.functions.alike import alike
 from caseloom.operators import plausible, ranking, resolve
 
 CARD = ("uid string, source string, title string, published_at date, coll_day date, relevant boolean, incident_type string, project string, "
@@ -77,3 +78,31 @@ def test_numbers_and_sums_of_null_keys(spark):
             total += v
             assert numbered[k, l, i] == n and sums[k, l, i] == total
     assert ranking.numbered(df, [], ["i"], "n").where("n = i + 1").count() == 300
+
+
+def test_names_alike_meet_once_a_bin_and_not_by_keys(spark):
+    rng = random.Random(11)
+    texts = sorted({"".join(rng.choice("abcé가") for _ in range(rng.randint(0, 7))) for _ in range(300)} | {"orbit vault", "orbit vaults", "\U0001f600orbit"})
+    rows = [(f"bin{b}", t, b < 2 and rng.random() < 0.2) for b in range(3) for t in texts if rng.random() < 0.6]
+    names = spark.createDataFrame(rows, "bin string, norm string, open boolean")
+
+    def grams(t):
+        padded = f"  {t} "
+        return {padded[i:i + 3] for i in range(len(t) + 1)}
+
+    def jaccard(a, b):
+        return len(grams(a) & grams(b)) / len(grams(a) | grams(b))
+
+    want = sorted((b, x, y) for b, x, ox in rows for c, y, oy in rows if b == c and x != y and (ox or oy) and jaccard(x, y) >= plausible.NAME_ALIKE)
+    for block in (8, 10_000):  # many cells of a bin, and one
+        assert sorted(map(tuple, plausible.alike_names(names, block).collect())) == want
+    opened = sum(o for _, _, o in rows)
+    assert plausible.dealt_names(names, 10_000).count() == sum(b != "bin2" for b, _, _ in rows) + opened  # a row a name, not one a key
+    dealt = plausible.dealt_names(names, 8).groupBy("bin", "i", "j").count()
+    assert dealt.agg({"count": "max"}).first()[0] < 60
+
+
+def test_a_common_name_part_alone_is_found():
+    texts = [f"{i:03d}swap" for i in range(200)] + ["swap", "wap"]
+    found = dict(alike(["swap", "none"], texts, 0.3))
+    assert {texts[j] for j in found[0]} == {t for t in texts if t.endswith("swap")} and not len(found[1])
