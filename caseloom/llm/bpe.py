@@ -270,18 +270,18 @@ def encoder(docs: DataFrame, path: str, n: int = LEXICON):
     return docs.sparkSession.sparkContext.broadcast({"key": key, "merges": merges, "lexicon": lexicon, "at": at, "ids": flat})
 
 
-def _encoded(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:
-    """The last column holds the text; it gives way to ids and decoded text."""
+def _encoded(batches: Iterator[pa.RecordBatch], shared, text: int, kept: int) -> Iterator[pa.RecordBatch]:
+    """The first `kept` columns, the ids of the column numbered `text` and what they decode to."""
     coder = Encoder.of(shared)
     for batch in batches:
         for start in range(0, batch.num_rows, 256):
             part = batch.slice(start, 256)
-            ids = coder.encode([t or "" for t in part.column(part.num_columns - 1).to_pylist()])
+            ids = coder.encode([t or "" for t in part.column(text).to_pylist()])
             sizes = np.concatenate(([0], np.cumsum([len(i) for i in ids])))
             lists = pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), pa.array(np.concatenate(ids).astype(np.int32)))
             yield pa.RecordBatch.from_arrays(
-                [*part.columns[:-1], lists, pa.array([coder.decode(i) for i in ids], pa.string())],
-                names=[*part.schema.names[:-1], *_encoded_names(part.schema.names[:-1])])
+                [*part.columns[:kept], lists, pa.array([coder.decode(i) for i in ids], pa.string())],
+                names=[*part.schema.names[:kept], *_encoded_names(part.schema.names[:kept])])
 
 
 def _encoded_names(taken: list[str]) -> tuple[str, str]:
@@ -297,8 +297,12 @@ def encoded(docs: DataFrame, path: str, n: int = LEXICON) -> DataFrame:
     """docs with two more columns (names made free by underscores): `ids` array<int> and `decoded`, the text they give back."""
     names = _encoded_names(docs.columns)
     schema = T.StructType([*docs.schema.fields, T.StructField(names[0], T.ArrayType(T.IntegerType())), T.StructField(names[1], T.StringType())])
-    held = docs.withColumn(free_name(docs, "whole_text"), F.col("text").cast("string"))
-    return held.mapInArrow(partial(_encoded, shared=encoder(docs, path, n)), schema)
+    kept = len(docs.columns)
+    if dict(docs.dtypes).get("text") == "string":  # goes to a worker once, not beside a copy of itself
+        held, text = docs, docs.columns.index("text")
+    else:
+        held, text = docs.withColumn(free_name(docs, "whole_text"), F.col("text").cast("string")), kept
+    return held.mapInArrow(partial(_encoded, shared=encoder(docs, path, n), text=text, kept=kept), schema)
 
 
 def _digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -15,7 +15,6 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -177,20 +176,19 @@ def learnt(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, label
     return fit([found[i] for i in order], np.array([ids[i] for i in order], dtype=np.int64), total.get(1, 0) / max(1, sum(total.values())))
 
 
-def _scored(batches: Iterator[pa.RecordBatch], shared, column: str) -> Iterator[pa.RecordBatch]:
-    model = shared.value
-    for batch in batches:
-        text = batch.column(batch.num_columns - 1)
-        score = pa.array([model.score(found) for found in features(text)], pa.float64())
-        yield pa.RecordBatch.from_arrays([*batch.columns[:-1], score], names=[*batch.schema.names[:-1], column])
-
-
 def scored(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
-    """docs with one more column, the score of `text`; `column` must be a free name."""
+    """docs with one more column, the score of `text`; `column` must be a free name.
+
+    Only texts go to a worker and only scores come back.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)  # three arrays of BUCKETS values
-    held = free_name(docs, "scored_text")
-    whole = docs.withColumn(held, F.col("text").cast("string"))
-    return whole.mapInArrow(partial(_scored, shared=shared, column=column), T.StructType([*docs.schema.fields, T.StructField(column, T.DoubleType())]))
+
+    @F.arrow_udf(T.DoubleType())
+    def score(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for text in texts:
+            yield pa.array([shared.value.score(found) for found in features(text)], pa.float64())
+
+    return docs.withColumn(column, score(F.col("text").cast("string")))
 
 
 def accepted(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:

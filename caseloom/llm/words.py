@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-CHUNK = 1 << 20  # bytes of text worked on at once; a longer text makes a chunk of its own
+CHUNK = 1 << 18  # bytes of text worked on at once, at 8 bytes and more in each of some ten arrays; a longer text makes a chunk of its own
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
