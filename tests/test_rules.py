@@ -9,6 +9,7 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+from caseloom import fixed
 from caseloom.functions import checksums, html
 from caseloom.functions import text as tx
 from caseloom.operators import extract, follow, golden, quality, resolve, tables
@@ -301,3 +302,21 @@ def test_texts_are_searched_for_addresses_once(spark):
     found = extract.addresses(texts)
     assert {(r.chain, r.address) for r in found.collect()} == {("ETH", f"0x{'ab' * 20}"), ("BTC", "1A1zP1eP5QGefi2DMPTfTL5SLmv7DivfNa")}
     assert "regexp_extract_all" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_keyword_test_hits_where_the_pattern_does(spark):
+    rng = random.Random(5)
+    lists = [fixed.PRESS_KEYWORDS, fixed.CRIME_KEYWORDS, fixed.CRYPTO_KEYWORDS + fixed.CHAIN_KEYWORDS, fixed.MESSAGE_KEYWORDS,
+             ["a", "ab", "abc*", "ab*", "b", "c.d", "wallets*"], ["x*"], ["solo"], [], ["", "*"]]
+    words = [w.rstrip("*") for ws in lists for w in ws]
+
+    def part():
+        w = rng.choice(words)
+        return rng.choice([w, w.upper(), w[:-1], w + rng.choice(["s", "es", "ed", "ing", "er", "ers", "x", "s1", "_"]), rng.choice("abx1") + w, "가" + w])
+
+    texts = ["", None, "\u017folana", "to\u212aen"] + [rng.choice(["", " ", "-", "é"]).join(part() for _ in range(rng.randint(1, 3))) for _ in range(1500)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for ws in lists:
+        plain = F.coalesce("t", F.lit("")).rlike(tx.keyword_pattern(ws))
+        assert df.where(tx.has_keyword(F.col("t"), ws) != plain).count() == 0, ws
+    assert "rypto(?:currenc" in tx.keyword_test(fixed.PRESS_KEYWORDS)
