@@ -113,6 +113,8 @@ def rss(spark: SparkSession, path: str, source: str, since=None, pages: DataFram
         e = e.join(texts, "url", "left")
     else:
         e = e.withColumns({"body": F.lit(""), "description": F.lit("")})
+    if require_keywords:  # the gate on the whole entry, article text included
+        e = e.where(tx.is_relevant(F.concat_ws("\n", "title", "summary", "body")))
     body, about = F.coalesce("body", F.lit("")), F.coalesce("description", F.lit(""))
     return to_items(e.select(
         F.when(F.col("url") != "", F.col("url")).otherwise(F.col("title")).alias("source_id"), "url", "title",

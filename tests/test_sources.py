@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import re
 
 import pytest
 
@@ -34,6 +35,19 @@ def test_feed_entries_by_name(spark, tmp_path):
     assert {r.source_id for r in every} == {"https://n.example/a", "https://n.example/b", "https://n.example/c?id=7", "Bitcoin exploit without a page"}
 
 
+def test_a_feed_passes_both_gates(spark, tmp_path):
+    """The gate holds on title and summary before pages are joined, and again with the article's text."""
+    (tmp_path / "feed.xml").write_text(FEED, encoding="utf-8")
+    pages = spark.createDataFrame([("https://n.example/a", "<html><body><article><p>The whole story.</p></article></body></html>")], "url string, html string")
+
+    def gates(**options):
+        plan = registry.read(spark, "rss", str(tmp_path), source="trm", pages=pages, **options)._jdf.queryExecution().analyzed().toString()
+        return re.findall(r"Filter \(RLIKE\(coalesce\(concat_ws\(\n, ([^)]*)\)", plan)
+
+    assert [re.sub(r"#\d+", "", columns) for columns in gates()] == ["title, summary, body", "title, summary"]
+    assert not gates(require_keywords=False)
+
+
 def test_press_releases_by_name(spark, tmp_path):
     (tmp_path / "press.json").write_text("\n".join(json.dumps(p) for p in PRESS), encoding="utf-8")
     got = {r.source_id: r for r in registry.read(spark, "press_json", str(tmp_path)).collect()}
