@@ -34,6 +34,15 @@ def test_null_inputs_meet_as_cells_too(spark):
     assert {(r.uid_l, r.hit.uid) for r in hits.collect()} == {("b", "a"), ("c", "a")}
 
 
+def test_a_shared_key_finds_its_earliest_day_without_a_row_a_day(spark):
+    rows = [("k", 0, "b"), ("k", 0, "a"), ("k", 3, "c"), ("k", 14, "d"), ("k", 17, "e"), ("k", 40, "f"), ("l", 3, "g"), ("m", 0, "h"), ("m", 0, "i")]
+    keys = spark.createDataFrame([(k, DAY + dt.timedelta(d), u) for k, d, u in rows], "key string, scope date, uid string").select(
+        "key", "scope", F.struct(F.col("scope").alias("day"), F.lit(0).alias("o1"), F.lit(0).alias("o2"), "uid").alias("ord"))
+    hits = follow.shared_hits(keys)
+    assert {(r.uid_l, r.hit.uid) for r in hits.collect()} == {("c", "a"), ("d", "a"), ("e", "c")}
+    assert "Generate" not in hits._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_each_rule_is_a_plan_of_its_own(spark):
     """What links are made of is written rule by rule; one plan of all rules held hundreds of exchanges in the driver."""
     rows = [(f"u{i}", "rss:a", "Title of a case", "hack_exploit", f"moonbase{i}", DAY + dt.timedelta(i), DAY, DAY, 5.0, [], []) for i in range(3)]
