@@ -14,6 +14,8 @@ the cards without amount only. (Amounts are losses, above zero; a negative one m
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -23,7 +25,7 @@ from caseloom.functions import text as tx
 from caseloom.functions.alike import alike
 from caseloom.operators.ranking import numbered, running_sum
 from caseloom.operators.resolve import profiles
-from caseloom.session import cut_lineage, spread
+from caseloom.session import cut_lineage, passing_steps, spread
 
 NEAR_DAYS, LEGAL_DAYS, NAME_ALIKE, RATIO = 3, 5, 0.3, 2.0
 WINDOW_DAYS = 4 * NEAR_DAYS  # a card stands in one or two windows of these, and looks into one for each day
@@ -61,14 +63,19 @@ def _standing(attacks: DataFrame) -> DataFrame:
 
 
 def _seeking(attacks: DataFrame) -> DataFrame:
-    """The slots a card looks into: (.., slot). Later ones of its own kind suffice, as the other side looks back."""
+    """The slots a card looks into: (.., slot, own). Later ones of its own kind suffice, as the other side looks back.
+
+    own: whether it stands there itself; whoever counts the cards of a cell leaves it out by that, without a look at the members.
+    """
     def slots(kind: str, days: Column) -> Column:
         return F.transform(days, lambda d: _slot(kind, d))
 
     by_inc = slots("i ", _days("inc", 0, NEAR_DAYS))
     by_pub = F.concat(slots("p0 ", _days("pub", 0, NEAR_DAYS)), slots("p1 ", _days("pub", NEAR_DAYS, NEAR_DAYS)))
     none = F.array().cast("array<string>")
-    return attacks.withColumn("slot", F.explode(F.when(F.col("inc").isNotNull(), by_inc).when(F.col("pub").isNotNull(), by_pub).otherwise(none)))
+    sought = attacks.withColumn("slot", F.explode(F.when(F.col("inc").isNotNull(), by_inc).when(F.col("pub").isNotNull(), by_pub).otherwise(none)))
+    stands = F.when(F.col("inc").isNotNull(), _slot("i ", F.col("inc"))).otherwise(_slot("p0 ", F.col("pub")))
+    return sought.withColumn("own", F.col("slot") == stands)
 
 
 def _key(kind: str, *parts: str | Column) -> Column:
@@ -80,30 +87,32 @@ def _power(amount: Column) -> Column:
 
 
 def _by_amount(standing: DataFrame, seeking: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Members (cell, uid, amount) and reach (uid, cell, first, last) of cards with amounts.
+    """Members (cell, uid, amount) and reach (uid, cell, first, last, own) of cards with amounts.
 
-    Places come from running counts of the members below a half and up to twice a card's amount.
+    Places come from running counts of the members below a half and up to twice a card's amount, so its own lies between.
     """
     held = F.col("amount") > 0
     members = standing.where(held).select(_key("a", "slot", "chain", _power(F.col("amount")).cast("string")), "uid", "amount")
     low, high = F.col("amount") / RATIO, F.col("amount") * RATIO
-    asked = seeking.where(held).select("uid", "slot", "chain", low.alias("low"), high.alias("high"), F.explode(
-        F.sequence(_power(low), _power(high))).alias("bin")).select("uid", "low", "high", _key("a", "slot", "chain", F.col("bin").cast("string")))
+    asked = seeking.where(held).select("uid", "slot", "chain", "own", _power(F.col("amount")).alias("power"), low.alias("low"), high.alias("high"), F.explode(
+        F.sequence(_power(low), _power(high))).alias("bin")).select(
+        "uid", "low", "high", (F.col("own") & (F.col("bin") == F.col("power"))).alias("own"), _key("a", "slot", "chain", F.col("bin").cast("string")))
     asked = asked.join(members.select("cell").distinct(), "cell", "left_semi")
     none = F.lit(None).cast("string")
-    points = members.select("cell", F.col("amount").alias("at"), F.lit(1).alias("pos"), none.alias("uid"), F.lit(1).alias("one")).unionByName(
-        asked.select("cell", F.col("low").alias("at"), F.lit(0).alias("pos"), "uid", F.lit(0).alias("one"))).unionByName(
-        asked.select("cell", F.col("high").alias("at"), F.lit(2).alias("pos"), "uid", F.lit(0).alias("one")))
+    points = members.select("cell", F.col("amount").alias("at"), F.lit(1).alias("pos"), none.alias("uid"), F.lit(False).alias("own"), F.lit(1).alias("one")).unionByName(
+        asked.select("cell", F.col("low").alias("at"), F.lit(0).alias("pos"), "uid", "own", F.lit(0).alias("one"))).unionByName(
+        asked.select("cell", F.col("high").alias("at"), F.lit(2).alias("pos"), "uid", "own", F.lit(0).alias("one")))
     counted = running_sum(points, ["cell"], ["at", "pos", "uid"], "one", "below").where("uid is not null")
     reach = counted.groupBy("uid", "cell").agg(
-        (F.max(F.when(F.col("pos") == 0, F.col("below"))) + 1).alias("first"), F.max(F.when(F.col("pos") == 2, F.col("below"))).alias("last"))
+        (F.max(F.when(F.col("pos") == 0, F.col("below"))) + 1).alias("first"), F.max(F.when(F.col("pos") == 2, F.col("below"))).alias("last"),
+        F.max("own").alias("own"))
     return members, reach.where("first <= last")
 
 
 def _whole(members: DataFrame, asked: DataFrame) -> DataFrame:
-    """Reach of cards that look for whole cells, (uid, cell)."""
+    """Reach of cards that look for whole cells, (uid, cell, own)."""
     sizes = members.groupBy("cell").agg(F.count("*").alias("last"))
-    return asked.join(sizes, "cell").select("uid", "cell", F.lit(1).cast("long").alias("first"), "last").distinct()
+    return asked.join(sizes, "cell").select("uid", "cell", F.lit(1).cast("long").alias("first"), "last", "own").distinct()
 
 
 def _both(tag: str, rows: DataFrame, *parts: str) -> DataFrame:
@@ -115,7 +124,7 @@ def _both(tag: str, rows: DataFrame, *parts: str) -> DataFrame:
 def _asked(tag: str, rows: DataFrame, *parts: str) -> DataFrame:
     """A card without amount looks for all cards, others for those without."""
     kind = F.when(F.col("amount").isNull(), F.lit(tag)).otherwise(F.lit(tag.upper()))
-    return rows.select("uid", F.concat_ws("|", kind, *parts).alias("cell"))
+    return rows.select("uid", F.concat_ws("|", kind, *parts).alias("cell"), (F.col("own") & F.col("amount").isNull()).alias("own"))
 
 
 def _by_word(standing: DataFrame, seeking: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -194,36 +203,37 @@ def _by_name(standing: DataFrame, seeking: DataFrame) -> tuple[DataFrame, DataFr
     """
     pairs = cut_lineage(alike_names(cut_lineage(open_names(standing), "names")), "alike")
     members = _both("n", standing, "slot", "chain", "norm")
-    others = seeking.withColumn("bin", _bin(_window(_slot_day()))).join(pairs, ["bin", "norm"])
+    others = seeking.withColumn("bin", _bin(_window(_slot_day()))).join(pairs, ["bin", "norm"]).withColumn("own", F.lit(False))
     return members, _whole(members, _asked("n", seeking, "slot", "chain", "norm").unionByName(_asked("n", others, "slot", "chain", "name")))
 
 
 def _by_release(p: DataFrame) -> tuple[DataFrame, DataFrame]:
     legal = p.where("fam = 'legal' and pub is not null").withColumn("word", F.explode("words"))
     members = legal.select(_key("l", F.date_format("pub", "yyyy-MM-dd"), "word"), "uid")
-    asked = legal.withColumn("day", F.explode(_days("pub", 0, LEGAL_DAYS))).select("uid", _key("l", F.date_format("day", "yyyy-MM-dd"), "word"))
+    asked = legal.withColumn("day", F.explode(_days("pub", 0, LEGAL_DAYS))).select(
+        "uid", _key("l", F.date_format("day", "yyyy-MM-dd"), "word"), (F.col("day") == F.col("pub")).alias("own"))
     return members, _whole(members, asked)
 
 
+@passing_steps()
 def plausible_reach(cards: DataFrame) -> tuple[DataFrame, DataFrame]:
     """members (cell, place, uid) and reach (uid, cell, first, last, n) over all relevant cards.
 
-    n counts the cards of the range other than the card itself; ranges of the card alone are left out.
+    n counts the cards of the range other than the card itself; ranges of the card alone are left out. Each kind of cell
+    is written by itself, so that one kind's shuffle files are gone when the next one's are made.
     """
     p = _inputs(cards)
     attacks = p.where("fam <> 'legal'").withColumn("chain", F.explode("chains"))
     standing, seeking = cut_lineage(_standing(attacks), "standing"), _seeking(attacks)
-    found = [_by_amount(standing, seeking), _by_word(standing, seeking), _by_name(standing, seeking), _by_release(p)]
-    members = found[0][0]
-    for m, _ in found[1:]:
-        members = members.unionByName(m.withColumn("amount", F.lit(None).cast("double")))
-    placed = cut_lineage(numbered(members, ["cell"], ["amount", "uid"], "place").select("cell", "place", "uid"), "placed")
-    reach = found[0][1]
-    for _, r in found[1:]:
-        reach = reach.unionByName(r)
-    reach = reach.join(placed.select("cell", "uid", F.col("place").alias("own")), ["cell", "uid"], "left")
-    n = F.col("last") - F.col("first") + 1 - F.coalesce(F.col("own").between(F.col("first"), F.col("last")).cast("long"), F.lit(0))
-    return placed, reach.withColumn("n", n).where("n > 0").select("uid", "cell", "first", "last", "n")
+    n = F.col("last") - F.col("first") + 1 - F.col("own").cast("long")
+    members, found = [], []
+    for make in (lambda: _by_amount(standing, seeking), lambda: _by_word(standing, seeking), lambda: _by_name(standing, seeking), lambda: _by_release(p)):
+        with passing_steps():
+            m, r = make()
+            found.append(cut_lineage(r.withColumn("n", n).where("n > 0").select("uid", "cell", "first", "last", "n"), "reach", lasting=2))
+        members.append(m if "amount" in m.columns else m.withColumn("amount", F.lit(None).cast("double")))
+    placed = numbered(reduce(DataFrame.unionByName, members), ["cell"], ["amount", "uid"], "place").select("cell", "place", "uid")
+    return cut_lineage(placed, "placed", lasting=1), reduce(DataFrame.unionByName, found)
 
 
 def pairs(placed: DataFrame, reach: DataFrame) -> DataFrame:

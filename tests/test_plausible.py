@@ -57,6 +57,15 @@ def test_a_busy_chain_grows_with_its_cards(spark):
     assert sizes == [400, 1600]
 
 
+def test_ranges_are_counted_without_a_look_at_the_members(spark):
+    """A card knows by itself whether it stands in a cell that it looks into; reach met all members of all cells for that."""
+    cards = cards_of(spark, random_cards(80, 3))
+    placed, reach = plausible.plausible_reach(cards)
+    assert "Join" not in reach._jdf.queryExecution().optimizedPlan().toString()
+    own = reach.join(placed, ["cell", "uid"], "left").where("n <> last - first + 1 - cast(coalesce(place between first and last, false) as int)")
+    assert own.count() == 0 < reach.count()
+
+
 def test_no_cards(spark):
     placed, reach = plausible.plausible_reach(cards_of(spark, random_cards(3, 1)).limit(0))
     assert placed.count() == 0 and reach.count() == 0

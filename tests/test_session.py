@@ -41,7 +41,7 @@ def test_steps_of_a_block_go_with_it_unless_they_last(spark):
     with passing_steps():
         with passing_steps():
             inner = cut_lineage(spark.range(3), "inner")
-            lasting = cut_lineage(inner, "lasting", lasting=True)
+            lasting = cut_lineage(inner, "lasting", lasting=1)
             places = [f.rsplit("/", 1)[0].removeprefix("file://") for df in (inner, lasting) for f in df.inputFiles()[:1]]
         assert [os.path.exists(p) for p in places] == [False, True] and lasting.count() == 3
     assert not os.path.exists(places[1])
